@@ -14,3 +14,51 @@ def profile(df: DataFrame, cluster: str, features: Sequence[str]) -> DataFrame:
     for c in features:
         aggs += [F.avg(c).alias(f"mean_{c}"), F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
     return df.groupBy(F.col(cluster).alias("cluster")).agg(*aggs)
+
+
+def fit_kmeans(df: DataFrame, k: int, max_iter: int = 20, init_mode: str = "k-means||",
+               seed: int = 123456, features: str = "features", prediction: str = "prediction"):
+    from pyspark.ml.clustering import KMeans
+    return KMeans(k=k, maxIter=max_iter, initMode=init_mode, seed=seed, featuresCol=features,
+                  predictionCol=prediction).fit(df)
+
+
+def fit_gmm(df: DataFrame, k: int, seed: int = 123456, max_iter: int = 100,
+            features: str = "features", prediction: str = "prediction"):
+    from pyspark.ml.clustering import GaussianMixture
+    return GaussianMixture(k=k, seed=seed, maxIter=max_iter, featuresCol=features,
+                           predictionCol=prediction).fit(df)
+
+
+def centres(model, spark=None) -> DataFrame:
+    """k-means centres as rows (cluster, dim, value); k x d values, bounded by the model."""
+    spark = spark or _active()
+    rows = [(i, j, float(v)) for i, c in enumerate(model.clusterCenters()) for j, v in enumerate(c)]
+    return spark.createDataFrame(rows, "cluster int, dim int, value double")
+
+
+def gaussians(model, spark=None) -> DataFrame:
+    """Mixture parameters flattened: (cluster, weight, kind, i, j, value), kind = mean | cov.
+
+    Built from the fitted model (k x d x d values, bounded by the model, not the data).
+    """
+    spark = spark or _active()
+    rows = []
+    for c, (g, w) in enumerate(zip(model.gaussiansDF.collect(), model.weights)):
+        for i, v in enumerate(g["mean"]):
+            rows.append((c, float(w), "mean", i, 0, float(v)))
+        cov = g["cov"].toArray()
+        for i in range(cov.shape[0]):
+            for j in range(cov.shape[1]):
+                rows.append((c, float(w), "cov", i, j, float(cov[i, j])))
+    return spark.createDataFrame(rows, "cluster int, weight double, kind string, i int, j int, value double")
+
+
+def assignments(model, df: DataFrame, key: str, prediction: str = "prediction") -> DataFrame:
+    """(key, cluster) per row; keeps the row key, so duplicate points never multiply."""
+    return model.transform(df).select(key, F.col(prediction).alias("cluster"))
+
+
+def _active():
+    from pyspark.sql import SparkSession
+    return SparkSession.getActiveSession()

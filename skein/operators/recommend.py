@@ -73,3 +73,130 @@ def similar_users(views: DataFrame, train_users: DataFrame, items: DataFrame,
     tu = train_users.select(F.col(users_col).alias(user))
     return (views.join(tu, user, "left_semi").join(items.select(key), key, "left_semi")
             .select(F.col(user).alias("similar_user")).distinct())
+
+
+@dataclass(frozen=True)
+class Recommendations:
+    """Result bundle: nested top-N lists, the split, the chosen model and the search."""
+    result: DataFrame
+    test: DataFrame
+    train: DataFrame
+    model: ALSModel
+    mapping: DataFrame
+    trials: DataFrame
+
+
+def nest(flat: DataFrame, group: str = "user", item: str = "Stream_ID",
+         score: str = "rating", out: str = "recommendations") -> DataFrame:
+    """Re-nest (group, item, score) rows into an array sorted by score desc, item asc.
+
+    Only used on top-N output, so every list is bounded by N.
+    """
+    key = F.struct((-F.col(score)).alias("k"), F.col(item).alias("i"), F.col(score).alias("s"))
+    arr = F.sort_array(F.collect_list(key))
+    return flat.groupBy(group).agg(
+        F.transform(arr, lambda x: F.struct(x["i"].alias(item), x["s"].alias(score))).alias(out))
+
+
+def flatten(nested: DataFrame, group: str = "user", out: str = "recommendations") -> DataFrame:
+    """(group, rank 1..N, fields of each list element)."""
+    e = nested.select(group, F.posexplode(out).alias("pos", "__r"))
+    return e.select(group, (F.col("pos") + 1).alias("rank"), "__r.*")
+
+
+def _top_per(df: DataFrame, group: str, item: str, score: str, n: int) -> DataFrame:
+    w = Window.partitionBy(group).orderBy(F.col(score).desc(), F.col(item).asc())
+    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+
+
+def top_n(views: DataFrame, n: int = 10, ranks=(10, 20, 30), reg_params=(0.01, 0.1, 0.5),
+          max_iters=(3, 10, 20), bucket: Column | None = None, share: float = 0.8,
+          seed: int = 12345, parallelism: int = 1) -> Recommendations:
+    """Encode items -> split -> ALS grid by test RMSE -> top-N per user -> decode -> nest."""
+    from skein.operators.tuning import search_als
+    mapping = encode_items(views)
+    extra = [bucket.alias("__b")] if bucket is not None else []
+    rated = views.join(mapping, "Stream_ID").select(
+        F.col("User_ID").alias("user"), "item", F.col("Duration").cast("float").alias("rating"), *extra)
+    train, test = split(rated, share=share, seed=seed,
+                        bucket=F.col("__b") if bucket is not None else None,
+                        keys=None if bucket is not None else ["user", "item", "rating"])
+    if bucket is not None:
+        train, test = train.drop("__b"), test.drop("__b")
+    train, test = train.checkpoint(eager=True), test.checkpoint(eager=True)
+    trials, model = search_als(train, test, ranks, reg_params, max_iters, seed=seed,
+                               parallelism=parallelism)
+    recs = model.recommendForAllUsers(n)
+    flat = (recs.select("user", F.explode("recommendations").alias("r"))
+            .select("user", F.col("r.item").alias("item"), F.col("r.rating").alias("rating")))
+    decoded = flat.join(mapping, "item").select("user", "Stream_ID", "rating")
+    return Recommendations(nest(decoded), test, train, model, mapping, trials)
+
+
+def cold_start(recs: Recommendations, views: DataFrame, n: int = 10) -> DataFrame:
+    """Top-N lists for users seen only in the test split: (cold_user, recommendations).
+
+    A cold user's candidates are the top-N lists of the training users who share an
+    item with them ("similar users"); a candidate's score is its best predicted rating
+    among those users. This is computed without forming user pairs: similar users'
+    lists are first reduced per shared item (best score per (item, candidate), top N per
+    item; exact, since an item's top N holds every candidate that can reach a cold
+    user's top N through it), then each cold user combines the lists of its own items.
+    """
+    cold = cold_users(recs.train, recs.test).select(F.col("user").alias("User_ID"))
+    cold_pairs = views.join(cold, "User_ID", "left_semi").select("User_ID", "Stream_ID").distinct()
+    shared = cold_pairs.select("Stream_ID").distinct()
+    train_users = recs.train.select(F.col("user").alias("User_ID")).distinct()
+    sim_pairs = (views.join(train_users, "User_ID", "left_semi")
+                 .join(shared, "Stream_ID", "left_semi")
+                 .select(F.col("User_ID").alias("user"), "Stream_ID").distinct())
+    sim_users = sim_pairs.select("user").distinct()
+    sim_recs = (recs.model.recommendForUserSubset(sim_users, n)
+                .select("user", F.explode("recommendations").alias("r"))
+                .select("user", F.col("r.item").alias("cand"), F.col("r.rating").alias("rating")))
+    per_item = (sim_pairs.join(sim_recs, "user")
+                .groupBy("Stream_ID", "cand").agg(F.max("rating").alias("rating")))
+    per_item = _top_per(per_item, "Stream_ID", "cand", "rating", n)
+    per_user = (cold_pairs.join(per_item, "Stream_ID")
+                .groupBy(F.col("User_ID").alias("cold_user"), "cand").agg(F.max("rating").alias("rating")))
+    per_user = _top_per(per_user, "cold_user", "cand", "rating", n)
+    decoded = (per_user.join(recs.mapping.withColumnRenamed("item", "cand").withColumnRenamed(
+        "Stream_ID", "rec_stream"), "cand").select("cold_user", F.col("rec_stream").alias("Stream_ID"), "rating"))
+    return nest(decoded, group="cold_user")
+
+
+def segment(views: DataFrame, k: int = 3, seed: int = 12345,
+            features: Sequence[str] = ("Duration", "Time_Start")) -> DataFrame:
+    """Behavioural segments: k-means on standardised features -> ``cluster`` column."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    vec = VectorAssembler(inputCols=list(features), outputCol="__f").transform(views)
+    scaled = StandardScaler(inputCol="__f", outputCol="__sf", withMean=True, withStd=True).fit(vec).transform(vec)
+    model = KMeans(k=k, seed=seed, featuresCol="__sf", predictionCol="cluster").fit(scaled)
+    return model.transform(scaled).drop("__f", "__sf")
+
+
+def per_segment(views: DataFrame, k: int = 3, seed: int = 12345, n: int = 10,
+                **search) -> tuple[DataFrame, DataFrame]:
+    """Segment, then run ``top_n`` and ``cold_start`` inside each non-empty segment.
+
+    The loop runs over the k segment numbers (bounded by k, not the data); the segment
+    table is checkpointed once. Returns flat (cluster, user, rank, Stream_ID, rating) for
+    top-N and (cluster, cold_user, rank, Stream_ID, rating) for cold start.
+    """
+    seg = segment(views, k, seed).checkpoint(eager=True)
+    tops, colds = [], []
+    for c in range(k):
+        part = seg.where(F.col("cluster") == c)
+        if part.limit(1).count() == 0:
+            continue
+        recs = top_n(part.drop("cluster"), n=n, seed=seed, **search)
+        tops.append(flatten(recs.result).withColumn("cluster", F.lit(c)))
+        colds.append(flatten(cold_start(recs, part, n), group="cold_user").withColumn("cluster", F.lit(c)))
+    top = tops[0]
+    for t in tops[1:]:
+        top = top.unionByName(t)
+    cold = colds[0]
+    for t in colds[1:]:
+        cold = cold.unionByName(t)
+    return top, cold

@@ -1 +1,111 @@
-"""Placeholder."""
+"""Model queries: k-fold classification, k-means and Gaussian-mixture searches.
+
+Fits depend on partitioning, so these have no SQL oracle (the driver checks row counts);
+their invariants are in tests/test_models.py. Grids here are small; the library defaults
+are the reference's full grids.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skein.operators import classify as C
+from skein.operators import cluster as K
+from skein.operators import metrics as M
+from skein.operators import ml_prep as P
+from skein.operators import tuning as T
+from skein.plans.registry import register
+from skein.sources import testdata as td
+
+# Fixed query parameters: grids small enough for a correctness run.
+CV_FOLDS = 3
+LOGIT_REGS = [0.01, 0.1]
+FOREST_TREES, FOREST_DEPTHS, FOREST_SUBSETS = [10], [5], ["sqrt", "all"]
+KMEANS_KS, KMEANS_ITERS, KMEANS_INITS = [3, 5], [10], ["k-means||", "random"]
+GMM_KS = [3, 5]
+SEED = 123456
+
+
+def labelled(spark: SparkSession, sf: str) -> DataFrame:
+    d = P.threshold_label(td.points_big(spark, sf), "l_extendedprice", td.BIG_PRICE_CUT)
+    return P.interaction_terms(d, "l_quantity", "l_discount")
+
+
+def point_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    # fixed partitioning before fits: the result of a seeded fit should not depend on
+    # how the input files happened to split
+    pts = td.points(spark, sf).repartition(8, "id").sortWithinPartitions("id")
+    return P.assemble(pts, ["x", "y", "z"])
+
+
+@register("logit_cv")
+def q_logit_cv(spark, sf):
+    pipe, lr = C.logistic_pipeline(["l_quantity", "l_discount", "l_quantity_l_discount",
+                                    "l_quantity_squared", "l_discount_squared"])
+    trials, _ = T.cross_validate(labelled(spark, sf), pipe, C.logistic_grid(lr, LOGIT_REGS),
+                                 folds=CV_FOLDS, seed=SEED,
+                                 fold_keys=["l_quantity", "l_discount", "l_extendedprice"])
+    return trials
+
+
+@register("forest_cv")
+def q_forest_cv(spark, sf):
+    pipe, rf = C.forest_pipeline(["l_quantity", "l_discount"], seed=SEED)
+    grid = C.forest_grid(rf, FOREST_TREES, FOREST_DEPTHS, FOREST_SUBSETS)
+    trials, _ = T.cross_validate(labelled(spark, sf), pipe, grid, folds=CV_FOLDS, seed=SEED,
+                                 fold_keys=["l_quantity", "l_discount", "l_extendedprice"])
+    return trials
+
+
+def _kmeans(spark, sf):
+    data = point_vectors(spark, sf)
+    trials, model = T.search_kmeans(data, KMEANS_KS, KMEANS_ITERS, KMEANS_INITS, SEED)
+    return data, trials, model
+
+
+@register("kmeans_trials")
+def q_kmeans_trials(spark, sf):
+    return _kmeans(spark, sf)[1]
+
+
+@register("kmeans_assign")
+def q_kmeans_assign(spark, sf):
+    data, _, model = _kmeans(spark, sf)
+    return K.assignments(model, data, "id")
+
+
+@register("kmeans_centres")
+def q_kmeans_centres(spark, sf):
+    return K.centres(_kmeans(spark, sf)[2], spark)
+
+
+@register("kmeans_silhouette")
+def q_kmeans_silhouette(spark, sf):
+    data, _, model = _kmeans(spark, sf)
+    return M.silhouette(model.transform(data), ["x", "y", "z"], "prediction")
+
+
+def _gmm(spark, sf):
+    data = point_vectors(spark, sf)
+    trials, model = T.search_gmm(data, GMM_KS, SEED)
+    return data, trials, model
+
+
+@register("gmm_trials")
+def q_gmm_trials(spark, sf):
+    return _gmm(spark, sf)[1]
+
+
+@register("gmm_params")
+def q_gmm_params(spark, sf):
+    return K.gaussians(_gmm(spark, sf)[2], spark)
+
+
+@register("gmm_assign")
+def q_gmm_assign(spark, sf):
+    data, _, model = _gmm(spark, sf)
+    out = model.transform(data)
+    return out.select("id", F.col("prediction").alias("cluster"),
+                      vector_to_array("probability").alias("probability"))
