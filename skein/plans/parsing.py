@@ -1 +1,101 @@
-"""Placeholder."""
+"""Text sources: route records rendered as text lines from ``lineitem`` (some
+corrupted on purpose, chosen by line number), then parsed back.
+
+The oracle does not parse text: it states the expected records straight from the
+source columns, so it checks the parsers independently.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skein.plans.registry import register
+from skein.session import ensure_checkpoint_dir
+from skein.sources import ROUTES_SCHEMA, parse_lines, read_delimited
+from skein.sources import testdata as td
+
+# Which line numbers carry which defect.
+SHIFTED_QUOTE_LINE = 4   # airline is a quoted text holding a comma
+NULL_ID_LINE = 3         # airline id is the null token
+BAD_ID_LINE = 7          # source airport id is not a number
+SHORT_LINE = 6           # record cut after three fields
+CODESHARE_LINE = 1       # codeshare "Y" (empty otherwise)
+NO_EQUIPMENT_LINE = 2    # trailing empty equipment field
+
+
+def _s(c: str) -> Column:
+    return F.col(c).cast("string")
+
+
+def route_lines(spark: SparkSession, sf: str) -> DataFrame:
+    li = td.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
+                                                "l_linenumber", "l_returnflag")
+    n = F.col("l_linenumber")
+    airline = F.when(n == SHIFTED_QUOTE_LINE, F.concat(F.lit('"B,'), "l_returnflag", F.lit('"'))) \
+        .otherwise(F.concat(F.lit("A"), "l_returnflag"))
+    airline_id = F.when(n == NULL_ID_LINE, F.lit("\\N")).otherwise(_s("l_orderkey"))
+    src_id = F.when(n == BAD_ID_LINE, F.concat(F.lit("x"), _s("l_suppkey"))).otherwise(_s("l_suppkey"))
+    fields = [airline, airline_id, F.concat(F.lit("P"), _s("l_partkey")), src_id,
+              F.concat(F.lit("S"), _s("l_suppkey")), _s("l_partkey"),
+              F.when(n == CODESHARE_LINE, F.lit("Y")).otherwise(F.lit("")),
+              (n - 1).cast("string"),
+              F.when(n == NO_EQUIPMENT_LINE, F.lit("")).otherwise(F.concat(F.lit("E"), n.cast("string")))]
+    full = F.concat_ws(",", *fields)
+    short = F.concat_ws(",", *fields[:3])
+    return li.select(F.when(n == SHORT_LINE, short).otherwise(full).alias("value"))
+
+
+_LINES_SQL = r"""WITH src AS (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber AS n, l_returnflag,
+    CASE WHEN l_linenumber = 4 THEN '"B,' || l_returnflag || '"' ELSE 'A' || l_returnflag END AS f1,
+    CASE WHEN l_linenumber = 3 THEN '\N' ELSE CAST(l_orderkey AS VARCHAR) END AS f2,
+    'P' || CAST(l_partkey AS VARCHAR) AS f3,
+    CASE WHEN l_linenumber = 7 THEN 'x' || CAST(l_suppkey AS VARCHAR) ELSE CAST(l_suppkey AS VARCHAR) END AS f4
+  FROM lineitem),
+lines AS (SELECT *, CASE WHEN n = 6 THEN f1 || ',' || f2 || ',' || f3
+  ELSE f1 || ',' || f2 || ',' || f3 || ',' || f4 || ',S' || CAST(l_suppkey AS VARCHAR) || ','
+       || CAST(l_partkey AS VARCHAR) || ',' || CASE WHEN n = 1 THEN 'Y' ELSE '' END || ','
+       || CAST(n - 1 AS VARCHAR) || ',' || CASE WHEN n = 2 THEN '' ELSE 'E' || CAST(n AS VARCHAR) END
+  END AS line FROM src),
+expected AS (SELECT
+  CASE WHEN n = 4 THEN 'B,' || l_returnflag ELSE 'A' || l_returnflag END AS airline,
+  CASE WHEN n = 3 THEN NULL ELSE l_orderkey END AS airline_id,
+  'P' || CAST(l_partkey AS VARCHAR) AS source_airport, l_suppkey AS source_airport_id,
+  'S' || CAST(l_suppkey AS VARCHAR) AS dest_airport, l_partkey AS dest_airport_id,
+  CASE WHEN n = 1 THEN 'Y' ELSE NULL END AS codeshare, n - 1 AS stops,
+  CASE WHEN n = 2 THEN NULL ELSE 'E' || CAST(n AS VARCHAR) END AS equipment, n
+  FROM src)
+"""
+
+
+@register("parse_good", _LINES_SQL + "SELECT * EXCLUDE (n) FROM expected WHERE n NOT IN (6, 7)")
+def q_parse_good(spark, sf):
+    good, _ = parse_lines(route_lines(spark, sf), "route")
+    return good
+
+
+@register("parse_rejects", _LINES_SQL + """SELECT line, CASE WHEN n = 6
+  THEN 'bad field: source_airport_id,dest_airport,dest_airport_id,codeshare,stops'
+  ELSE 'bad field: source_airport_id' END AS reason FROM lines WHERE n IN (6, 7)""")
+def q_parse_rejects(spark, sf):
+    _, rejects = parse_lines(route_lines(spark, sf), "route")
+    return rejects
+
+
+@register("parse_good_unquoted", _LINES_SQL +
+          "SELECT * EXCLUDE (n) FROM expected WHERE n NOT IN (4, 6, 7)")
+def q_parse_good_unquoted(spark, sf):
+    good, _ = parse_lines(route_lines(spark, sf), "route", quoted=False)
+    return good
+
+
+@register("scan_routes_text", _LINES_SQL + "SELECT * EXCLUDE (n) FROM expected WHERE n NOT IN (6, 7)")
+def q_scan_routes_text(spark, sf):
+    """Write the lines as a text data set in the shared checkpoint folder, then scan it
+    with the schema-first delimited reader dropping malformed records."""
+    folder = f"{ensure_checkpoint_dir(spark)}/skein-text-{uuid.uuid4().hex}"
+    route_lines(spark, sf).write.mode("overwrite").text(folder)
+    return read_delimited(spark, folder, ROUTES_SCHEMA, null_token="\\N", on_bad="drop")

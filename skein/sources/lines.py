@@ -35,6 +35,7 @@ LAYOUTS = {
 }
 
 NULL_TOKEN = "\\N"
+_MISSING = "\u0002"
 
 
 def _typed(raw: Column, dtype: str) -> Column:
@@ -42,8 +43,8 @@ def _typed(raw: Column, dtype: str) -> Column:
         return raw
     if dtype in ("bigint", "int"):
         # integral text only: "1.5" must not truncate to 1
-        return F.when(raw.rlike(r"^[+-]?[0-9]+$"), F.try_cast(raw, dtype))
-    return F.try_cast(raw, dtype)
+        return F.when(raw.rlike(r"^[+-]?[0-9]+$"), raw.try_cast(dtype))
+    return raw.try_cast(dtype)
 
 
 def parse_lines(lines: DataFrame, layout: str, value_col: str = "value", quoted: bool = True,
@@ -60,41 +61,56 @@ def parse_lines(lines: DataFrame, layout: str, value_col: str = "value", quoted:
     width = max(pos for pos, *_ in fields)
     line = F.col(value_col)
     if quoted:
+        # Fields missing from the end of a line are told apart from empty ones by
+        # appending ``width`` sentinel fields before parsing with CSV quoting rules.
+        padded = F.concat(line, F.lit((",%s" % _MISSING) * width))
         ddl = ", ".join(f"f{i} string" for i in range(1, width + 1))
-        # empty text stays "", a field missing from the end of the line becomes null
-        rec = F.from_csv(line, ddl, {"mode": "PERMISSIVE", "nullValue": "\u0001"})
-        parts = F.array(*[rec[f"f{i}"] for i in range(1, width + 1)])
-        n_fields = F.lit(0)
+        base = lines.select(line.alias("line"), F.from_csv(padded, ddl, {"mode": "PERMISSIVE"}).alias("__rec"),
+                            F.lit(0).alias("__n"))
+        raw_of = {pos: F.coalesce(F.col("__rec")[f"f{pos}"], F.lit("")) for pos, *_ in fields}
     else:
         parts = split_fields(F.regexp_replace(line, ",+$", ""))
-        n_fields = F.size(parts)
-    base = lines.select(line.alias("line"), parts.alias("__parts"), n_fields.alias("__n"))
+        base = lines.select(line.alias("line"), parts.alias("__parts"), F.size(parts).alias("__n"))
+        raw_of = {pos: F.try_element_at(F.col("__parts"), F.lit(pos)) for pos, *_ in fields}
+        raw_of = {pos: (F.regexp_replace(raw_of[pos], '"', "") if strip else raw_of[pos])
+                  for pos, _, _, _, strip in fields}
+    # one projection per stage: the record is parsed once and each field expression is
+    # not inlined into every later use (keeps the generated code small)
+    raws = base.select("line", "__n", *[raw_of[pos].alias(f"__raw{pos}") for pos, *_ in fields])
+
+    vals = []
+    for pos, name, dtype, kind, _ in fields:
+        raw = F.col(f"__raw{pos}")
+        value = _typed(raw, dtype)
+        if kind != "req":
+            value = F.when((raw == F.lit(null_token)) | (raw == ""), F.lit(None)).otherwise(value)
+        vals.append(value.cast(dtype).alias(f"__val{pos}"))
+    valued = raws.select("*", *vals)
 
     out_cols, problems = [], []
-    for pos, name, dtype, kind, strip in fields:
-        raw = F.try_element_at(F.col("__parts"), F.lit(pos))
-        if strip and not quoted:
-            raw = F.regexp_replace(raw, '"', "")
-        present = raw.isNotNull() if quoted else (F.col("__n") >= pos)
-        is_null_token = raw == F.lit(null_token)
+    for pos, name, dtype, kind, _ in fields:
+        raw, value = F.col(f"__raw{pos}"), F.col(f"__val{pos}")
+        present = (raw != F.lit(_MISSING)) if quoted else (F.col("__n") >= pos)
         if kind == "req":
-            value = _typed(raw, dtype)
-            bad = (~present) | is_null_token | value.isNull()
+            bad = ~present | (raw == F.lit(null_token)) | value.isNull()
         else:
-            value = F.when(is_null_token | (raw == ""), F.lit(None)).otherwise(_typed(raw, dtype))
-            bad = ~present if kind == "opt" else F.lit(False)
-            bad = bad | (~is_null_token & (raw != "") & value.isNull())
-        if kind == "tail":
-            value = F.when(present, value)
-        out_cols.append(value.cast(dtype).alias(name))
-        problems.append(F.when(F.coalesce(bad, F.lit(True)), F.lit(name)))
-    parsed = base.select("line", *out_cols,
-                         F.concat_ws(",", *problems).alias("__reason"))
+            unparsable = (raw != F.lit(null_token)) & (raw != "") & value.isNull()
+            bad = F.coalesce(unparsable, F.lit(False))
+            if kind == "opt":
+                bad = bad | ~present
+        bad = F.coalesce(bad, F.lit(True))
+        out_cols.append((F.when(present, value) if kind == "tail" else value).alias(name))
+        problems.append(F.when(bad, F.lit(name)).alias(f"__bad{pos}"))
+    any_bad = F.lit(False)
+    for pos, *_ in fields:
+        any_bad = any_bad | F.col(f"__bad{pos}").isNotNull()
+    typed = valued.select("line", *out_cols, *problems)
+    flagged = typed.withColumn("__is_bad", any_bad)
     if on_bad == "fail":
-        parsed = parsed.where(F.when(F.col("__reason") != "",
-                                     F.raise_error(F.concat(F.lit("cannot parse line: "), F.col("line")))
-                                     .cast("boolean")).otherwise(F.lit(True)))
-    good = parsed.where(F.col("__reason") == "").drop("__reason", "line")
-    rejects = parsed.where(F.col("__reason") != "").select(
-        "line", F.concat(F.lit("bad field: "), F.col("__reason")).alias("reason"))
+        flagged = flagged.where(F.when(F.col("__is_bad"), F.raise_error(
+            F.concat(F.lit("cannot parse line: "), F.col("line"))).cast("boolean")).otherwise(F.lit(True)))
+    good = flagged.where(~F.col("__is_bad")).select(*[name for _, name, *_ in fields])
+    rejects = flagged.where(F.col("__is_bad")).select(
+        "line", F.concat(F.lit("bad field: "),
+                         F.concat_ws(",", *[F.col(f"__bad{pos}") for pos, *_ in fields])).alias("reason"))
     return good, rejects
