@@ -23,4 +23,6 @@ def great_circle_km(lat1, lon1, lat2, lon2, radius_km: float = EARTH_RADIUS_KM)
     cosine = F.sin(la1) * F.sin(la2) + F.cos(la1) * F.cos(la2) * F.cos(lo2 - lo1)
     clamped = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cosine))
     same = (_col(lat1) == _col(lat2)) & (_col(lon1) == _col(lon2))
-    return F.when(same, F.lit(0.0)).otherwise(F.acos(clamped) * F.lit(radius_km))
+    # least/greatest skip nulls, so a null coordinate must be caught before the clamp
+    return (F.when(same, F.lit(0.0))
+            .when(cosine.isNotNull(), F.acos(clamped) * F.lit(radius_km)))
