@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.operators.relational import arg_top
-from skein.session import ensure_checkpoint_dir
+from skein.session import ensure_checkpoint_dir, materialize
 
 
 @dataclass(frozen=True)
@@ -187,6 +187,7 @@ def simple_paths(g: Graph, source: int, target: int, max_edges: int = 4,
     breadth-first pass from the target first labels each vertex with its hop distance,
     and a frontier row survives only if the target is still reachable in the hops left.
     """
+    ensure_checkpoint_dir(g.edges.sparkSession)
     edges = _simple_edges(g, weight).persist(StorageLevel.MEMORY_AND_DISK)
     start = g.vertices.where(F.col("id") == F.lit(source))
     if source == target:
@@ -213,15 +214,22 @@ def simple_paths(g: Graph, source: int, target: int, max_edges: int = 4,
                             F.lit(0.0).alias("__d"))
     found = []
     for k in range(1, max_edges + 1):
+        # one level = frontier x out-edges; kept only if the target is still reachable in
+        # the hops left (the target itself ends a path: a simple path cannot revisit it)
+        left = max_edges - k
+        alive = reach.where(F.col("hops") <= left).select(F.col("v").alias("dst"))
         step = (frontier.join(edges, frontier["last"] == edges["src"])
+                .join(alive, "dst", "left_semi")
                 .where(~F.array_contains("path", F.col("dst")))
                 .select(F.array_append("path", F.col("dst")).alias("path"),
                         F.col("dst").alias("last"),
                         (F.col("__d") + F.col("__w")).alias("__d")))
+        # materialise the level once: it feeds both the result and the next level
+        step = materialize(step, "paths")
         found.append(step.where(F.col("last") == F.lit(target)))
-        if k < max_edges:
-            alive = reach.where(F.col("hops") <= max_edges - k).select(F.col("v").alias("last"))
-            frontier = step.where(F.col("last") != F.lit(target)).join(alive, "last", "left_semi")
+        frontier = step.where(F.col("last") != F.lit(target))
+    for c in cached:
+        c.unpersist()
     paths = found[0]
     for f in found[1:]:
         paths = paths.unionByName(f)
@@ -270,7 +278,7 @@ def components(g: Graph, max_rounds: int = 200) -> DataFrame:
     each component's minimum. Vertices without edges are their own component.
     """
     ensure_checkpoint_dir(g.edges.sparkSession)
-    e = _undirected(g).checkpoint(eager=True)
+    e = materialize(_undirected(g), "cc")
     for _ in range(max_rounds):
         # large star: link every larger neighbour of u to the minimum of u's neighbourhood
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
@@ -283,7 +291,7 @@ def components(g: Graph, max_rounds: int = 200) -> DataFrame:
         linked = e1.join(m2, e1["b"] == m2["u"])
         small = (linked.select(F.col("a").alias("x"), F.col("m").alias("y"))
                  .unionByName(linked.select(F.col("u").alias("x"), F.col("m").alias("y"))))
-        e = _canonical(small, "x", "y").checkpoint(eager=True)
+        e = materialize(_canonical(small, "x", "y"), "cc")
         if _is_star_forest(e):
             break
     else:
@@ -309,7 +317,8 @@ def label_propagation(g: Graph, rounds: int = 5) -> DataFrame:
     pairs = g.edges.select("src", "dst").distinct()
     messages = (pairs.select(F.col("src").alias("from"), F.col("dst").alias("to"))
                 .unionByName(pairs.select(F.col("dst").alias("from"), F.col("src").alias("to")))
-                .checkpoint(eager=True))
+                )
+    messages = materialize(messages, "lpa")
     labels = g.vertices.select("id", F.col("id").alias("label")).distinct()
     for _ in range(rounds):
         incoming = (messages.join(labels.withColumnRenamed("id", "from"), "from")
@@ -317,8 +326,8 @@ def label_propagation(g: Graph, rounds: int = 5) -> DataFrame:
         best = incoming.groupBy("id").agg(
             F.max(F.struct(F.col("n"), (-F.col("label")).alias("neg"))).alias("__best"))
         labels = (labels.join(best, "id", "left")
-                  .select("id", F.coalesce(-F.col("__best.neg"), F.col("label")).alias("label"))
-                  .checkpoint(eager=True))
+                  .select("id", F.coalesce(-F.col("__best.neg"), F.col("label")).alias("label")))
+        labels = materialize(labels, "lpa")
     return labels
 
 

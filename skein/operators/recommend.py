@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.operators.relational import dense_ids, hash_split
+from skein.session import materialize
 
 REQUIRED = ("User_ID", "Stream_ID", "Streamer_Username", "Time_Start", "Time_Stop")
 
@@ -123,7 +124,7 @@ def top_n(views: DataFrame, n: int = 10, ranks=(10, 20, 30), reg_params=(0.01, 0
                         keys=None if bucket is not None else ["user", "item", "rating"])
     if bucket is not None:
         train, test = train.drop("__b"), test.drop("__b")
-    train, test = train.checkpoint(eager=True), test.checkpoint(eager=True)
+    train, test = materialize(train, "train"), materialize(test, "test")
     trials, model = search_als(train, test, ranks, reg_params, max_iters, seed=seed,
                                parallelism=parallelism)
     recs = model.recommendForAllUsers(n)
@@ -184,7 +185,7 @@ def per_segment(views: DataFrame, k: int = 3, seed: int = 12345, n: int = 10,
     table is checkpointed once. Returns flat (cluster, user, rank, Stream_ID, rating) for
     top-N and (cluster, cold_user, rank, Stream_ID, rating) for cold start.
     """
-    seg = segment(views, k, seed).checkpoint(eager=True)
+    seg = materialize(segment(views, k, seed), "segments")
     tops, colds = [], []
     for c in range(k):
         part = seg.where(F.col("cluster") == c)

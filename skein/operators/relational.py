@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.session import default_parallelism
+from skein.session import default_parallelism, materialize
 
 
 def _col(c) -> Column:
@@ -96,7 +96,7 @@ def dense_ids(df: DataFrame, key: str, out: str = "id", checkpoint: bool = True)
     numbered = prefix_sum(keys, [key], ["__one"], out_prefix="__cum")
     mapping = numbered.select(key, (F.col("__cum__one") - 1).cast("int").alias(out))
     if checkpoint:
-        mapping = mapping.checkpoint(eager=True)
+        mapping = materialize(mapping, "ids")
     return mapping
 
 

@@ -10,13 +10,15 @@ import itertools
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.operators.classify import describe_params
 from skein.operators.cluster import fit_gmm, fit_kmeans
+from skein.operators.metrics import confusion
 from skein.operators.relational import arg_top
+from skein.session import spread
 
 
 def best_trial(trials: DataFrame, metric: str = "score", larger_is_better: bool = True) -> DataFrame:
@@ -41,40 +43,69 @@ def fold_column(df: DataFrame, folds: int, seed: int, keys: Sequence[str] | None
     return df.withColumn(out, F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(folds)).cast("int"))
 
 
+def _class_scores(pred: DataFrame, label: str, metrics: Sequence[str]) -> dict[str, float]:
+    """Accuracy and weighted F1 from one confusion-table pass (classes x classes rows)."""
+    cells = confusion(pred, label, "prediction").collect()
+    total = sum(c.n for c in cells)
+    actual, predicted, hits = {}, {}, {}
+    for c in cells:
+        actual[c.label] = actual.get(c.label, 0) + c.n
+        predicted[c.prediction] = predicted.get(c.prediction, 0) + c.n
+        if float(c.label) == float(c.prediction):
+            hits[c.label] = hits.get(c.label, 0) + c.n
+    out = {"accuracy": sum(hits.values()) / total if total else 0.0}
+    f1 = 0.0
+    for cls, n in actual.items():
+        tp = hits.get(cls, 0)
+        pp = sum(v for k, v in predicted.items() if float(k) == float(cls))
+        p = tp / pp if pp else 0.0
+        r = tp / n
+        f1 += (2 * p * r / (p + r) if p + r > 0 else 0.0) * n
+    out["f1"] = f1 / total if total else 0.0
+    unknown = set(metrics) - set(out)
+    if unknown:
+        raise ValueError(f"unsupported metrics {sorted(unknown)}")
+    return {m: out[m] for m in metrics}
+
+
 def cross_validate(df: DataFrame, estimator, grid, metrics: Sequence[str] = ("accuracy", "f1"),
                    folds: int = 10, seed: int = 123456, label: str = "label",
                    parallelism: int = 1, fold_keys: Sequence[str] | None = None):
     """k-fold validation where each (fold, grid point) model is fitted once and scored
-    with every metric; the best grid point per metric is refitted on all rows.
+    with every metric from one confusion table; the best grid point per metric (first
+    wins ties) is refitted on all rows, once per distinct grid point.
 
     Returns ``(trials, best)``: trials has (trial, params, metric, fold_score = mean
     over folds, train_score = score of the refitted model on the training rows, only for
     the chosen trial, chosen); ``best`` maps metric -> fitted model.
     """
     spark = df.sparkSession
-    data = fold_column(df, folds, seed, fold_keys).persist()
+    data = spread(fold_column(df, folds, seed, fold_keys)).persist()
     sums = {m: [0.0] * len(grid) for m in metrics}
-    evaluators = {m: MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                                       metricName=m) for m in metrics}
-    for f in range(folds):
+
+    def run_fold(f: int):
         train = data.where(F.col("fold") != f)
-        valid = data.where(F.col("fold") == f).persist()
-        for idx, model in estimator.fitMultiple(train, grid):
-            pred = model.transform(valid).persist()
-            for m in metrics:
-                sums[m][idx] += evaluators[m].evaluate(pred)
-            pred.unpersist()
-        valid.unpersist()
-    best, rows = {}, []
+        valid = data.where(F.col("fold") == f)
+        return [(idx, _class_scores(model.transform(valid), label, metrics))
+                for idx, model in estimator.fitMultiple(train, grid)]
+
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        for scored in pool.map(run_fold, range(folds)):
+            for idx, scores in scored:
+                for m in metrics:
+                    sums[m][idx] += scores[m]
+    refits, best, rows = {}, {}, []
     for m in metrics:
         means = [s / folds for s in sums[m]]
         b = _pick(means, True)
-        model = estimator.fit(data, grid[b])
+        if b not in refits:
+            model = estimator.fit(data, grid[b])
+            refits[b] = (model, _class_scores(model.transform(data), label, metrics))
+        model, train_scores = refits[b]
         best[m] = model
-        train_score = evaluators[m].evaluate(model.transform(data))
         for i, pm in enumerate(grid):
             rows.append((i, describe_params(pm), m, float(means[i]),
-                         float(train_score) if i == b else None, i == b))
+                         float(train_scores[m]) if i == b else None, i == b))
     data.unpersist()
     trials = spark.createDataFrame(rows, "trial int, params string, metric string, fold_score double, "
                                          "train_score double, chosen boolean")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.plans.registry import register
-from skein.session import ensure_checkpoint_dir
+from skein.session import ensure_checkpoint_dir, spread
 from skein.sources import ROUTES_SCHEMA, parse_lines, read_delimited
 from skein.sources import testdata as td
 
@@ -45,7 +45,7 @@ def route_lines(spark: SparkSession, sf: str) -> DataFrame:
               F.when(n == NO_EQUIPMENT_LINE, F.lit("")).otherwise(F.concat(F.lit("E"), n.cast("string")))]
     full = F.concat_ws(",", *fields)
     short = F.concat_ws(",", *fields[:3])
-    return li.select(F.when(n == SHORT_LINE, short).otherwise(full).alias("value"))
+    return spread(li.select(F.when(n == SHORT_LINE, short).otherwise(full).alias("value")))
 
 
 _LINES_SQL = r"""WITH src AS (

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every skein job relies on. AQE re-plans joins from measured shuffle sizes
 # (broadcast only when the materialised side is small), coalesces small partitions and
@@ -72,3 +73,31 @@ def default_parallelism(spark: SparkSession) -> int:
         return max(1, int(value))
     except ValueError:
         return int(os.cpu_count() or 8)
+
+
+def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+    """Write ``df`` once as parquet under the checkpoint folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint (the files live in the shared folder,
+    so a lost executor never forces recomputation of earlier steps), but computes the
+    plan only once (``Dataset.checkpoint`` runs it twice unless it is also cached) and
+    stores it columnar and compressed.
+    """
+    spark = df.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/skein-{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when ``df`` has fewer partitions than the session's
+    default parallelism (e.g. one unsplittable file feeding an iterative model fit).
+
+    Inputs that already arrive split wider (the normal case on a cluster) are left as
+    they are, so this never adds a shuffle there.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
