@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.operators.relational import arg_top
+from skein.operators.relational import HOT_SHARE, arg_top, hot_keys, skew_join
 from skein.session import ensure_checkpoint_dir, materialize
 
 
@@ -283,12 +283,14 @@ def components(g: Graph, max_rounds: int = 200) -> DataFrame:
         # large star: link every larger neighbour of u to the minimum of u's neighbourhood
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             e.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        # (the joins below meet one row per key; AQE's skew-join splitting handles a
+        # hub's partition, no extra pass over the edges per round is needed)
         m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where(F.col("v") > F.col("u")).join(m, "u").select("v", "m")
         e1 = _canonical(large, "v", "m")
         # small star: link u and its smaller neighbours to the minimum of them
         m2 = e1.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
-        linked = e1.join(m2, e1["b"] == m2["u"])
+        linked = e1.withColumnRenamed("b", "u").join(m2, "u")
         small = (linked.select(F.col("a").alias("x"), F.col("m").alias("y"))
                  .unionByName(linked.select(F.col("u").alias("x"), F.col("m").alias("y"))))
         e = materialize(_canonical(small, "x", "y"), "cc")
@@ -319,9 +321,12 @@ def label_propagation(g: Graph, rounds: int = 5) -> DataFrame:
                 .unionByName(pairs.select(F.col("dst").alias("from"), F.col("src").alias("to")))
                 )
     messages = materialize(messages, "lpa")
+    # hub vertices send to many neighbours: their messages meet a broadcast of their own
+    # labels (at most 1/HOT_SHARE vertices), the rest use a shuffle join
+    hot = materialize(hot_keys(messages, "from", HOT_SHARE), "lpa-hot")
     labels = g.vertices.select("id", F.col("id").alias("label")).distinct()
     for _ in range(rounds):
-        incoming = (messages.join(labels.withColumnRenamed("id", "from"), "from")
+        incoming = (skew_join(messages, labels.withColumnRenamed("id", "from"), "from", hot=hot)
                     .groupBy(F.col("to").alias("id"), "label").agg(F.count("*").alias("n")))
         best = incoming.groupBy("id").agg(
             F.max(F.struct(F.col("n"), (-F.col("label")).alias("neg"))).alias("__best"))

@@ -10,7 +10,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.operators.relational import dense_ids, hash_split
+from skein.operators.relational import dense_ids, hash_split, skew_join
 from skein.session import materialize
 
 REQUIRED = ("User_ID", "Stream_ID", "Streamer_Username", "Time_Start", "Time_Stop")
@@ -34,7 +34,8 @@ def encode_items(views: DataFrame, key: str = "Stream_ID", out: str = "item") ->
 def ratings(views: DataFrame, mapping: DataFrame, key: str = "Stream_ID",
             repeat: str = "keep") -> DataFrame:
     """(user, item, rating = Duration); ``repeat`` = keep | sum | max for repeated pairs."""
-    r = views.join(mapping, key).select(F.col("User_ID").alias("user"), F.col("item"),
+    # a hot stream may hold a large share of all views: split it off (skew_join)
+    r = skew_join(views, mapping, key).select(F.col("User_ID").alias("user"), F.col("item"),
                                         F.col("Duration").alias("rating"))
     if repeat == "sum":
         r = r.groupBy("user", "item").agg(F.sum("rating").alias("rating"))
@@ -117,7 +118,7 @@ def top_n(views: DataFrame, n: int = 10, ranks=(10, 20, 30), reg_params=(0.01, 0
     from skein.operators.tuning import search_als
     mapping = encode_items(views)
     extra = [bucket.alias("__b")] if bucket is not None else []
-    rated = views.join(mapping, "Stream_ID").select(
+    rated = skew_join(views, mapping, "Stream_ID").select(
         F.col("User_ID").alias("user"), "item", F.col("Duration").cast("float").alias("rating"), *extra)
     train, test = split(rated, share=share, seed=seed,
                         bucket=F.col("__b") if bucket is not None else None,

@@ -128,3 +128,39 @@ def require_not_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     message = F.lit("null value in a required column of " + ",".join(cols))
     # A filter keeps the check in the plan (a dropped projection would be pruned away).
     return df.where(F.when(cond, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
+# Share of a table's rows above which one key counts as hot. At most 1 / HOT_SHARE keys can
+# pass, which bounds every broadcast made of hot keys.
+HOT_SHARE = 0.01
+
+
+def hot_keys(df: DataFrame, key: str, min_share: float = HOT_SHARE,
+             counts: DataFrame | None = None, count_col: str = "__n") -> DataFrame:
+    """Keys holding at least ``min_share`` of the rows (at most ``1/min_share`` of them).
+
+    ``counts`` may supply an existing (key, count) aggregate so no extra pass is needed.
+    """
+    if counts is None:
+        counts = df.groupBy(key).agg(F.count("*").alias(count_col))
+    total = counts.agg(F.sum(count_col)).scalar()
+    return counts.where(F.col(count_col) >= total * F.lit(min_share)).select(key)
+
+
+def skew_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
+              min_share: float = HOT_SHARE, hot: DataFrame | None = None) -> DataFrame:
+    """Join a large table with a table holding at most one row per key, splitting hot keys.
+
+    Rows of hot keys (see :func:`hot_keys`) meet a broadcast of just those keys' rows of
+    ``small`` inside the map tasks, so no single reduce task receives a hot key's rows;
+    all other rows go through the ordinary shuffle join. Both broadcasts are bounded by
+    ``1/min_share`` keys.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("skew_join supports inner and left joins")
+    hot = F.broadcast(hot if hot is not None else hot_keys(big, key, min_share))
+    small_hot = F.broadcast(small.join(hot, key, "left_semi"))
+    hot_rows = big.join(hot, key, "left_semi").join(small_hot, key, how)
+    cold_rows = (big.join(hot, key, "left_anti")
+                 .join(small.join(hot, key, "left_anti"), key, how))
+    return hot_rows.unionByName(cold_rows)

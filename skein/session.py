@@ -86,7 +86,7 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/skein-{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(folder)
-    return spark.read.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
