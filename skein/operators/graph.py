@@ -65,13 +65,12 @@ def in_degrees(g: Graph) -> DataFrame:
 def degrees(g: Graph, include_isolated: bool = False) -> DataFrame:
     """(id, degree) = in + out edges; a self-loop counts twice.
 
-    Both halves are pre-aggregated (partial hash aggregation per task) before the union,
-    so a hub vertex contributes one row per task to the shuffle, not one per edge.
-    Vertices without edges are absent unless ``include_isolated``.
+    One pass over the edges: each edge yields both endpoints, counted with partial
+    (per-task) aggregation before the shuffle, so a hub vertex sends one row per task,
+    not one per edge. Vertices without edges are absent unless ``include_isolated``.
     """
-    halves = (out_degrees(g).select("id", F.col("out_degree").alias("n"))
-              .unionByName(in_degrees(g).select("id", F.col("in_degree").alias("n"))))
-    deg = halves.groupBy("id").agg(F.sum("n").alias("degree"))
+    deg = (g.edges.select(F.explode(F.array("src", "dst")).alias("id"))
+           .groupBy("id").agg(F.count("*").alias("degree")))
     if include_isolated:
         deg = (g.vertices.select("id").join(deg, "id", "left")
                .select("id", F.coalesce("degree", F.lit(0)).cast("long").alias("degree")))

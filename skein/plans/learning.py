@@ -27,6 +27,7 @@ FOREST_TREES, FOREST_DEPTHS, FOREST_SUBSETS = [10], [5], ["sqrt", "all"]
 KMEANS_KS, KMEANS_ITERS, KMEANS_INITS = [3, 5], [10], ["k-means||", "random"]
 GMM_KS = [3, 5]
 SEED = 123456
+PARALLEL_TRIALS = 4  # independent fits submitted concurrently (Spark schedules them)
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,7 +54,7 @@ def q_logit_cv(spark, sf):
                            keep=["label"] + FOLD_KEYS)
     lr = C.LogisticRegression(featuresCol="scaled", labelCol="label")
     trials, _ = T.cross_validate(scaled, lr, C.logistic_grid(lr, LOGIT_REGS), folds=CV_FOLDS,
-                                 seed=SEED, fold_keys=FOLD_KEYS)
+                                 seed=SEED, fold_keys=FOLD_KEYS, parallelism=PARALLEL_TRIALS)
     return trials
 
 
@@ -62,13 +63,15 @@ def q_forest_cv(spark, sf):
     data = P.assemble(labelled(spark, sf), FOREST_FEATURES)
     rf = C.RandomForestClassifier(featuresCol="features", labelCol="label", seed=SEED)
     grid = C.forest_grid(rf, FOREST_TREES, FOREST_DEPTHS, FOREST_SUBSETS)
-    trials, _ = T.cross_validate(data, rf, grid, folds=CV_FOLDS, seed=SEED, fold_keys=FOLD_KEYS)
+    trials, _ = T.cross_validate(data, rf, grid, folds=CV_FOLDS, seed=SEED, fold_keys=FOLD_KEYS,
+                                 parallelism=PARALLEL_TRIALS)
     return trials
 
 
 def _kmeans(spark, sf):
     data = point_vectors(spark, sf)
-    trials, model = T.search_kmeans(data, KMEANS_KS, KMEANS_ITERS, KMEANS_INITS, SEED)
+    trials, model = T.search_kmeans(data, KMEANS_KS, KMEANS_ITERS, KMEANS_INITS, SEED,
+                                    parallelism=PARALLEL_TRIALS)
     return data, trials, model
 
 
@@ -96,7 +99,7 @@ def q_kmeans_silhouette(spark, sf):
 
 def _gmm(spark, sf):
     data = point_vectors(spark, sf)
-    trials, model = T.search_gmm(data, GMM_KS, SEED)
+    trials, model = T.search_gmm(data, GMM_KS, SEED, parallelism=PARALLEL_TRIALS)
     return data, trials, model
 
 
