@@ -176,25 +176,39 @@ def _simple_edges(g: Graph, weight: str) -> DataFrame:
             .groupBy("src", "dst").agg(F.min(weight).alias("__w")))
 
 
-def simple_paths(g: Graph, source: int, target: int, max_edges: int = 4,
+def _endpoint_ids(g: Graph, end) -> DataFrame:
+    if isinstance(end, Column):
+        return g.vertices.where(end).select(F.col("id").cast("long").alias("v")).distinct()
+    return g.vertices.where(F.col("id") == F.lit(end)).select(F.col("id").cast("long").alias("v"))
+
+
+def simple_paths(g: Graph, source, target, max_edges: int = 4,
                  weight: str = "distance") -> DataFrame:
     """All simple paths source -> target with at most ``max_edges`` edges.
 
-    Output ``(path array<long>, n_edges int, <weight> double)``. Parallel edges count once
-    (smallest weight), self-loops are ignored, and source == target gives the one-vertex
-    path of weight 0. The search is at most ``max_edges`` frontier joins; a backward
-    breadth-first pass from the target first labels each vertex with its hop distance,
-    and a frontier row survives only if the target is still reachable in the hops left.
+    ``source`` / ``target`` are a vertex id or a vertex predicate (a Column over vertex
+    columns, e.g. ``F.col("region") == "ASIA"``) naming a set of vertices. Output
+    ``(path array<long>, n_edges int, <weight> double)``. Parallel edges count once
+    (smallest weight) and self-loops are ignored. For a single source equal to a single
+    target the result is the one-vertex path of weight 0; with vertex sets a path needs
+    at least one edge and may pass through other target vertices.
+
+    The search is at most ``max_edges`` frontier joins, each level written once to the
+    checkpoint folder. A backward breadth-first pass first labels every vertex with its
+    hop distance to the nearest target, and a frontier row survives only if a target is
+    still reachable in the hops left.
     """
     ensure_checkpoint_dir(g.edges.sparkSession)
+    sets = isinstance(source, Column) or isinstance(target, Column)
     edges = _simple_edges(g, weight).persist(StorageLevel.MEMORY_AND_DISK)
-    start = g.vertices.where(F.col("id") == F.lit(source))
-    if source == target:
-        return start.select(F.array(F.col("id").cast("long")).alias("path"),
-                            F.lit(0).alias("n_edges"), F.lit(0.0).alias(weight))
-
-    # backward hop distances to the target, up to max_edges - 1
-    level = g.vertices.where(F.col("id") == F.lit(target)).select(F.col("id").alias("v"))
+    start = _endpoint_ids(g, source)
+    targets = _endpoint_ids(g, target)
+    if not sets and source == target:
+        return start.select(F.array("v").alias("path"), F.lit(0).alias("n_edges"),
+                            F.lit(0.0).alias(weight))
+
+    # backward hop distances to the nearest target, up to max_edges - 1
+    level = targets
     reach = level.withColumn("hops", F.lit(0))
     cached = [edges]
     for k in range(1, max_edges):
@@ -208,13 +222,12 @@ def simple_paths(g: Graph, source: int, target: int, max_edges: int = 4,
     reach = reach.persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(reach)
 
-    frontier = start.select(F.array(F.col("id").cast("long")).alias("path"),
-                            F.col("id").cast("long").alias("last"),
+    frontier = start.select(F.array("v").alias("path"), F.col("v").alias("last"),
                             F.lit(0.0).alias("__d"))
     found = []
     for k in range(1, max_edges + 1):
-        # one level = frontier x out-edges; kept only if the target is still reachable in
-        # the hops left (the target itself ends a path: a simple path cannot revisit it)
+        # one level = frontier x out-edges, kept only if a target is still reachable in
+        # the hops left
         left = max_edges - k
         alive = reach.where(F.col("hops") <= left).select(F.col("v").alias("dst"))
         step = (frontier.join(edges, frontier["last"] == edges["src"])
@@ -225,8 +238,13 @@ def simple_paths(g: Graph, source: int, target: int, max_edges: int = 4,
                         (F.col("__d") + F.col("__w")).alias("__d")))
         # materialise the level once: it feeds both the result and the next level
         step = materialize(step, "paths")
-        found.append(step.where(F.col("last") == F.lit(target)))
-        frontier = step.where(F.col("last") != F.lit(target))
+        if sets:
+            found.append(step.join(targets.select(F.col("v").alias("last")), "last", "left_semi"))
+            frontier = step
+        else:
+            # a simple path cannot come back to a single target: stop there
+            found.append(step.where(F.col("last") == F.lit(target)))
+            frontier = step.where(F.col("last") != F.lit(target))
     for c in cached:
         c.unpersist()
     paths = found[0]
@@ -235,13 +253,13 @@ def simple_paths(g: Graph, source: int, target: int, max_edges: int = 4,
     return paths.select("path", (F.size("path") - 1).alias("n_edges"), F.col("__d").alias(weight))
 
 
-def shortest_path(g: Graph, source: int, target: int, max_edges: int = 4,
+def shortest_path(g: Graph, source, target, max_edges: int = 4,
                   weight: str = "distance") -> DataFrame:
     return arg_top(simple_paths(g, source, target, max_edges, weight), weight, k=1,
                    desc=False, tie=["n_edges", "path"])
 
 
-def longest_path(g: Graph, source: int, target: int, max_edges: int = 4,
+def longest_path(g: Graph, source, target, max_edges: int = 4,
                  weight: str = "distance") -> DataFrame:
     return arg_top(simple_paths(g, source, target, max_edges, weight), weight, k=1,
                    desc=True, tie=["n_edges", "path"])

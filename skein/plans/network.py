@@ -18,6 +18,7 @@ NEIGHBOR_REGION = "EUROPE"
 PATH_SOURCE, PATH_TARGET, PATH_MAX_EDGES = 1, 5, 4
 LARGE_CLUSTER, ISOLATED_MIN = 5, 2
 LPA_ROUNDS = 5
+MAX_TRANSFERS = 2  # the task text: at most two transfers (three flights)
 
 
 def route_dist(spark: SparkSession, sf: str, sparse: bool = False) -> DataFrame:
@@ -207,6 +208,27 @@ def q_longest(spark, sf):
     return _path_text(G.longest_path(g, PATH_SOURCE, PATH_TARGET, PATH_MAX_EDGES))
 
 
+_TRANSFERS_CTE = f"""se AS (SELECT src, dst, min(distance) AS w FROM gedges WHERE src <> dst GROUP BY src, dst),
+walk(path, last, d, n) AS (
+  SELECT [CAST(id AS BIGINT)], CAST(id AS BIGINT), CAST(0.0 AS DOUBLE), 0 FROM gverts
+  WHERE region = '{SRC_REGION}'
+  UNION ALL
+  SELECT list_append(w.path, se.dst), se.dst, w.d + se.w, w.n + 1
+  FROM walk w JOIN se ON w.last = se.src
+  WHERE w.n < {MAX_TRANSFERS + 1} AND NOT list_contains(w.path, se.dst))"""
+
+
+@register("itinerary_upto2_transfers",
+          V.with_views(V.GVERTS, V.GEDGES, extra=_TRANSFERS_CTE, recursive=True) + f"""
+SELECT array_to_string(path, '->') AS path, n AS n_edges, round(d, 3) AS distance FROM walk
+WHERE n >= 1 AND last IN (SELECT id FROM gverts WHERE region = '{DST_REGION}')""")
+def q_itinerary_upto2(spark, sf):
+    g = flight_graph(spark, sf)
+    p = G.simple_paths(g, F.col("region") == SRC_REGION, F.col("region") == DST_REGION,
+                       max_edges=MAX_TRANSFERS + 1)
+    return _path_text(p)
+
+
 # ------------------------------------------------------------------ components
 
 _REACH_CTE = """und AS (SELECT src AS a, dst AS b FROM gedges_sparse WHERE src <> dst

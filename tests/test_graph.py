@@ -123,3 +123,10 @@ def test_triplets_and_neighbors(g, spark):
     assert t.count() == 9 and "src_country" in t.columns and "dst_country" in t.columns
     ids = spark.createDataFrame([(1,)], "id long")
     assert sorted(r.neighbor for r in G.neighbors(g, ids).collect()) == [3, 4, 4]
+
+
+def test_paths_between_vertex_sets(g):
+    pl, be = F.col("country") == "PL", F.col("country") == "BE"
+    got = sorted(tuple(r.path) for r in G.simple_paths(g, pl, be, max_edges=3).collect())
+    assert got == [(1, 3, 4), (1, 3, 5), (1, 4), (2, 3, 4), (2, 3, 5)]
+    assert G.simple_paths(g, pl, be, max_edges=1).count() == 1
