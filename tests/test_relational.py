@@ -46,3 +46,17 @@ def test_require_not_null(spark):
     bad = spark.createDataFrame([(1, None)], "a int, b double")
     with pytest.raises(Exception):
         require_not_null(bad, ["a", "b"]).count()
+
+
+def test_skew_join_equals_plain_join(spark):
+    from skein.operators.relational import hot_keys, skew_join
+    big = spark.range(5000).select(
+        F.when(F.col("id") % 5 < 2, F.lit(7)).otherwise(F.col("id") % 300).alias("k"), "id")
+    small = spark.range(250).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    hot = [r.k for r in hot_keys(big, "k", 0.05).collect()]
+    assert hot == [7]
+    for how in ("inner", "left"):
+        got = skew_join(big, small, "k", how=how, min_share=0.05)
+        want = big.join(small, "k", how)
+        assert got.count() == want.count()
+        assert got.exceptAll(want.select(*got.columns)).count() == 0
