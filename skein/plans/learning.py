@@ -27,7 +27,7 @@ FOREST_TREES, FOREST_DEPTHS, FOREST_SUBSETS = [10], [5], ["sqrt", "all"]
 KMEANS_KS, KMEANS_ITERS, KMEANS_INITS = [3, 5], [10], ["k-means||", "random"]
 GMM_KS = [3, 5]
 SEED = 123456
-PARALLEL_TRIALS = 4  # independent fits submitted concurrently (Spark schedules them)
+PARALLEL_TRIALS = 1  # fits run one after another (concurrent MLlib fits stalled a local run)
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
