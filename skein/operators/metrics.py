@@ -54,8 +54,10 @@ def roc_curve(df: DataFrame, score: str = "score", label: str = "label") -> Data
         F.sum(pos).cast("long").alias("p"), F.sum(1 - pos).cast("long").alias("q"),
         F.max(F.lit(1)).cast("long").alias("one"))
     cum = prefix_sum(per_score, ["threshold"], ["p", "q", "one"], descending=True)
-    totals = df.agg(F.sum(pos).alias("P"), F.sum(1 - pos).alias("N"))
-    tot_p, tot_n = totals.select("P").scalar(), totals.select("N").scalar()
+    # totals come from the per-score table (one row per distinct score), not another
+    # pass over the scored rows
+    tot_p = per_score.agg(F.sum("p")).scalar()
+    tot_n = per_score.agg(F.sum("q")).scalar()
     curve = cum.select(F.col("cum_one").alias("step"), "threshold",
                        (F.col("cum_q") / tot_n).alias("fpr"), (F.col("cum_p") / tot_p).alias("tpr"))
     n_steps = per_score.agg(F.count("*")).scalar()
