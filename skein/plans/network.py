@@ -43,6 +43,11 @@ def q_route_distance(spark, sf):
     return d.select(*[c for c in d.columns if c != "distance"], _r3("distance"))
 
 
+@register("route_count", V.with_views(V.ROUTE_DIST) + "SELECT count(*) AS n FROM route_dist")
+def q_route_count(spark, sf):
+    return route_dist(spark, sf).agg(F.count("*").alias("n"))
+
+
 @register("carrier_total", V.with_views(V.ROUTE_DIST) + """
 SELECT airline, round(sum(distance), 3) AS total_distance FROM route_dist GROUP BY airline""")
 def q_carrier_total(spark, sf):
