@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from skein.operators.relational import HOT_SHARE, arg_top, hot_keys, skew_join
@@ -277,15 +277,6 @@ def _canonical(df: DataFrame, x: str, y: str) -> DataFrame:
             .select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct())
 
 
-def _is_star_forest(e: DataFrame) -> bool:
-    """True when no vertex is both a centre and a leaf and every leaf has one centre."""
-    roles = (e.select(F.col("a").alias("v"), F.lit(1).alias("as_a"), F.lit(0).alias("as_b"))
-             .unionByName(e.select(F.col("b").alias("v"), F.lit(0).alias("as_a"), F.lit(1).alias("as_b")))
-             .groupBy("v").agg(F.sum("as_a").alias("na"), F.sum("as_b").alias("nb")))
-    bad = roles.where(((F.col("na") > 0) & (F.col("nb") > 0)) | (F.col("nb") > 1))
-    return bad.limit(1).count() == 0
-
-
 def components(g: Graph, max_rounds: int = 200) -> DataFrame:
     """Weakly connected components: (id, component = smallest vertex id in it).
 
@@ -296,23 +287,34 @@ def components(g: Graph, max_rounds: int = 200) -> DataFrame:
     """
     ensure_checkpoint_dir(g.edges.sparkSession)
     e = materialize(_undirected(g), "cc")
-    for _ in range(max_rounds):
+    for r in range(max_rounds):
         # large star: link every larger neighbour of u to the minimum of u's neighbourhood
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             e.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        smaller = F.sum(F.when(F.col("v") < F.col("u"), 1).otherwise(0))
+        larger = F.sum(F.when(F.col("v") > F.col("u"), 1).otherwise(0))
+        stats = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
+                                      smaller.alias("n_small"), larger.alias("n_large"))
+        # Stop test on the input edge set, observed while this round runs (no extra pass):
+        # a forest of stars centred on their minimum has no vertex with two smaller
+        # neighbours and no vertex with both a smaller and a larger one.
+        check = Observation(f"skein-cc-{r}")
+        bad = (F.col("n_small") > 1) | ((F.col("n_small") == 1) & (F.col("n_large") > 0))
+        stats = stats.observe(check, F.sum(F.when(bad, 1).otherwise(0)).alias("bad"))
         # (the joins below meet one row per key; AQE's skew-join splitting handles a
-        # hub's partition, no extra pass over the edges per round is needed)
-        m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(m, "u").select("v", "m")
+        # hub's partition)
+        large = (both.where(F.col("v") > F.col("u")).join(stats.select("u", "m"), "u")
+                 .select("v", "m"))
         e1 = _canonical(large, "v", "m")
         # small star: link u and its smaller neighbours to the minimum of them
         m2 = e1.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
         linked = e1.withColumnRenamed("b", "u").join(m2, "u")
         small = (linked.select(F.col("a").alias("x"), F.col("m").alias("y"))
                  .unionByName(linked.select(F.col("u").alias("x"), F.col("m").alias("y"))))
-        e = materialize(_canonical(small, "x", "y"), "cc")
-        if _is_star_forest(e):
-            break
+        nxt = materialize(_canonical(small, "x", "y"), "cc")
+        if not (check.get.get("bad") or 0):
+            break  # ``e`` was already the fixed point (then ``nxt`` equals it)
+        e = nxt
     else:
         raise RuntimeError(f"components did not converge in {max_rounds} rounds")
     labels = (e.select(F.col("b").alias("id"), F.col("a").alias("component"))
