@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.operators.relational import HOT_SHARE, arg_top, hot_keys, skew_join
-from skein.session import ensure_checkpoint_dir, materialize
+from skein.session import ensure_checkpoint_dir, materialize, release
 
 
 @dataclass(frozen=True)
@@ -310,7 +310,8 @@ def components(g: Graph, max_rounds: int = 200) -> DataFrame:
         linked = e1.withColumnRenamed("b", "u").join(m2, "u")
         small = (linked.select(F.col("a").alias("x"), F.col("m").alias("y"))
                  .unionByName(linked.select(F.col("u").alias("x"), F.col("m").alias("y"))))
-        e = materialize(_canonical(small, "x", "y"), "cc")
+        previous, e = e, materialize(_canonical(small, "x", "y"), "cc")
+        release(previous)
         if _is_star_forest(e):
             break
     else:
@@ -347,9 +348,13 @@ def label_propagation(g: Graph, rounds: int = 5) -> DataFrame:
                     .groupBy(F.col("to").alias("id"), "label").agg(F.count("*").alias("n")))
         best = incoming.groupBy("id").agg(
             F.max(F.struct(F.col("n"), (-F.col("label")).alias("neg"))).alias("__best"))
-        labels = (labels.join(best, "id", "left")
-                  .select("id", F.coalesce(-F.col("__best.neg"), F.col("label")).alias("label")))
-        labels = materialize(labels, "lpa")
+        previous = labels
+        labels = materialize(
+            labels.join(best, "id", "left")
+            .select("id", F.coalesce(-F.col("__best.neg"), F.col("label")).alias("label")), "lpa")
+        release(previous)  # the round before is no longer needed by any plan
+    release(messages)
+    release(hot)
     return labels
 
 

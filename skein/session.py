@@ -86,7 +86,22 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/skein-{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out._skein_folder = folder
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the folder behind a :func:`materialize` result that no plan needs any more
+    (e.g. the previous round of an iteration once the next one is written), so iterative
+    jobs do not leave one copy of their working set per round in the shared folder."""
+    folder = getattr(df, "_skein_folder", None)
+    if not folder:
+        return
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
