@@ -342,10 +342,13 @@ def label_propagation(g: Graph, rounds: int = 5) -> DataFrame:
     # hub vertices send to many neighbours: their messages meet a broadcast of their own
     # labels (at most 1/HOT_SHARE vertices), the rest use a shuffle join
     hot = materialize(hot_keys(messages, "from", HOT_SHARE), "lpa-hot")
+    any_hot = hot.limit(1).count() > 0  # reads at most one row of a tiny written table
     labels = g.vertices.select("id", F.col("id").alias("label")).distinct()
     for _ in range(rounds):
-        incoming = (skew_join(messages, labels.withColumnRenamed("id", "from"), "from", hot=hot)
-                    .groupBy(F.col("to").alias("id"), "label").agg(F.count("*").alias("n")))
+        senders = labels.withColumnRenamed("id", "from")
+        joined = (skew_join(messages, senders, "from", hot=hot) if any_hot
+                  else messages.join(senders, "from"))
+        incoming = joined.groupBy(F.col("to").alias("id"), "label").agg(F.count("*").alias("n"))
         best = incoming.groupBy("id").agg(
             F.max(F.struct(F.col("n"), (-F.col("label")).alias("neg"))).alias("__best"))
         previous = labels
