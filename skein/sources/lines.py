@@ -65,47 +65,43 @@ def parse_lines(lines: DataFrame, layout: str, value_col: str = "value", quoted:
         # appending ``width`` sentinel fields before parsing with CSV quoting rules.
         padded = F.concat(line, F.lit((",%s" % _MISSING) * width))
         ddl = ", ".join(f"f{i} string" for i in range(1, width + 1))
-        base = lines.select(line.alias("line"), F.from_csv(padded, ddl, {"mode": "PERMISSIVE"}).alias("__rec"),
-                            F.lit(0).alias("__n"))
-        raw_of = {pos: F.coalesce(F.col("__rec")[f"f{pos}"], F.lit("")) for pos, *_ in fields}
+        base = lines.select(line.alias("line"), F.from_csv(padded, ddl, {"mode": "PERMISSIVE"}).alias("__rec"))
+        # a missing field becomes null, an empty one ""
+        raw_of = {pos: F.nullif(F.coalesce(F.col("__rec")[f"f{pos}"], F.lit("")), F.lit(_MISSING))
+                  for pos, *_ in fields}
     else:
         parts = split_fields(F.regexp_replace(line, ",+$", ""))
-        base = lines.select(line.alias("line"), parts.alias("__parts"), F.size(parts).alias("__n"))
+        base = lines.select(line.alias("line"), parts.alias("__parts"))
         raw_of = {pos: F.try_element_at(F.col("__parts"), F.lit(pos)) for pos, *_ in fields}
         raw_of = {pos: (F.regexp_replace(raw_of[pos], '"', "") if strip else raw_of[pos])
                   for pos, _, _, _, strip in fields}
     # one projection per stage: the record is parsed once and each field expression is
     # not inlined into every later use (keeps the generated code small)
-    raws = base.select("line", "__n", *[raw_of[pos].alias(f"__raw{pos}") for pos, *_ in fields])
+    raws = base.select("line", *[raw_of[pos].alias(f"__raw{pos}") for pos, *_ in fields])
 
+    # typed value: null when missing, the null token, empty optional text or unparsable
     vals = []
     for pos, name, dtype, kind, _ in fields:
         raw = F.col(f"__raw{pos}")
-        value = _typed(raw, dtype)
-        if kind != "req":
-            value = F.when((raw == F.lit(null_token)) | (raw == ""), F.lit(None)).otherwise(value)
-        vals.append(value.cast(dtype).alias(f"__val{pos}"))
+        blank = raw == F.lit(null_token) if kind == "req" else raw.isin(null_token, "")
+        vals.append(F.when(~blank, _typed(raw, dtype)).cast(dtype).alias(f"__val{pos}"))
     valued = raws.select("*", *vals)
 
-    out_cols, problems = [], []
+    # a field is bad when required and without value, when missing although optional, or
+    # when text that is neither blank nor the null token does not parse
+    flags = []
     for pos, name, dtype, kind, _ in fields:
         raw, value = F.col(f"__raw{pos}"), F.col(f"__val{pos}")
-        present = (raw != F.lit(_MISSING)) if quoted else (F.col("__n") >= pos)
         if kind == "req":
-            bad = ~present | (raw == F.lit(null_token)) | value.isNull()
+            bad = value.isNull()
         else:
-            unparsable = (raw != F.lit(null_token)) & (raw != "") & value.isNull()
-            bad = F.coalesce(unparsable, F.lit(False))
+            bad = F.coalesce(~raw.isin(null_token, "") & value.isNull(), F.lit(False))
             if kind == "opt":
-                bad = bad | ~present
-        bad = F.coalesce(bad, F.lit(True))
-        out_cols.append((F.when(present, value) if kind == "tail" else value).alias(name))
-        problems.append(F.when(bad, F.lit(name)).alias(f"__bad{pos}"))
-    any_bad = F.lit(False)
-    for pos, *_ in fields:
-        any_bad = any_bad | F.col(f"__bad{pos}").isNotNull()
-    typed = valued.select("line", *out_cols, *problems)
-    flagged = typed.withColumn("__is_bad", any_bad)
+                bad = bad | raw.isNull()
+        flags.append(F.when(bad, F.lit(name)).alias(f"__bad{pos}"))
+    typed = valued.select("line", *[F.col(f"__val{pos}").alias(name) for pos, name, *_ in fields],
+                          *flags)
+    flagged = typed.withColumn("__is_bad", F.concat_ws("", *[F.col(f"__bad{pos}") for pos, *_ in fields]) != "")
     if on_bad == "fail":
         flagged = flagged.where(F.when(F.col("__is_bad"), F.raise_error(
             F.concat(F.lit("cannot parse line: "), F.col("line"))).cast("boolean")).otherwise(F.lit(True)))
