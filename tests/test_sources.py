@@ -75,3 +75,22 @@ def test_views_drop_malformed(spark, tmp_path):
     assert len(raw.collect()) == 3
     clean = clean_interactions(raw).collect()
     assert [(r.User_ID, r.Duration) for r in clean] == [(1, 2)]
+
+
+def test_reader_fail_mode(spark, tmp_path):
+    path = _write(tmp_path, "views_bad.csv", ["1,a,b,1,2", "bad,1,x,2,3"])
+    with pytest.raises(Exception):
+        read_delimited(spark, path, VIEWS_SCHEMA, on_bad="fail").collect()
+    kept = read_delimited(spark, path, VIEWS_SCHEMA, on_bad="keep").collect()
+    assert len(kept) == 2 and kept[1].User_ID is None
+
+
+def test_airport_layout_quoted_keeps_commas(spark):
+    line = '7,"Sao Paulo, Congonhas","Sao Paulo","Brazil","CGH","SBSP",-23.6,-46.6,2631'
+    df = spark.createDataFrame([(line,)], "value string")
+    good, rejects = parse_lines(df, "airport", quoted=True)
+    g = good.first()
+    assert g.name == "Sao Paulo, Congonhas" and g.iata == "CGH" and g.altitude == 2631.0
+    assert rejects.count() == 0
+    _, unquoted_rejects = parse_lines(df, "airport", quoted=False)
+    assert unquoted_rejects.count() == 1  # the quoted comma shifts every later field
