@@ -9,9 +9,10 @@
 3. The XOR population count of two odd sketches estimates how many samples differ; at high
    similarity that is precise, so pairs clearly below the threshold go. The rest are confirmed on
    full shingle sets and linked; links make components.
-4. A bucket whose members are by now one component is done. In others, members of different
-   components that pass sizes and sketches are confirmed pair by pair, in blocks. After that no
-   pair that shares a bucket is unjudged.
+4. A bucket whose members are by now one component is done. The members of others get an odd
+   sketch of many more samples, and those of different components are compared by it, in blocks;
+   only pairs at the threshold or just below it leave the comparison and are confirmed. After that
+   no pair that shares a bucket is unjudged.
 
 Two documents at the threshold miss each other in all bands with a probability of at most MISS.
 
@@ -38,7 +39,10 @@ from skein.session import materialize
 
 SHINGLE_WORDS, THRESHOLD = 5, 0.8
 BAND_ROWS, MISS = 5, 1e-6
-SKETCH_BITS, SKETCH_MARGIN = 512, 0.25
+# Odd sketches, coarse and fine: (samples, bits, margin below the threshold that is still judged
+# exactly). The margins are above five standard deviations of the estimates. None: as many samples
+# as the bands have.
+COARSE, FINE = (None, 512, 0.25), (1024, 2048, 0.065)
 BLOCK_MEMBERS = 512  # members of a bucket that one task compares with as many others
 
 
@@ -46,42 +50,56 @@ def bands_for(threshold: float, rows: int = BAND_ROWS, miss: float = MISS) -> in
     return math.ceil(math.log(miss) / math.log(1 - threshold ** rows))
 
 
-def sketch_cut(threshold: float, samples: int) -> int:
-    """Largest XOR population count kept: that of a similarity SKETCH_MARGIN below the threshold,
-    about six standard deviations of the estimate."""
-    differ = 2 * samples * (1 - max(0.0, threshold - SKETCH_MARGIN))
-    return math.ceil(SKETCH_BITS / 2 * (1 - math.exp(-2 * differ / SKETCH_BITS)))
+def sketch_cut(threshold: float, samples: int, bits: int, margin: float) -> int:
+    """Largest XOR population count kept: the one expected ``margin`` below the threshold."""
+    differ = 2 * samples * (1 - max(0.0, threshold - margin))
+    return math.ceil(bits / 2 * (1 - math.exp(-2 * differ / bits)))
 
 
-class Signer:
-    """Shingle set -> (128-bit class, band keys, odd sketch)."""
+class MinHash:
+    """Samples of a shingle set, and their fold into a parity bitmap."""
 
-    def __init__(self, bands: int, rows: int = BAND_ROWS):
-        draw = np.random.default_rng(20240)
-        n = bands * rows
-        self.bands, self.rows = bands, rows
-        self.a = draw.integers(1, 1 << 32, n, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-        self.b = draw.integers(0, 1 << 32, n, dtype=np.uint64).astype(np.uint32)
-        self.weights = draw.integers(1, 1 << 63, rows, dtype=np.uint64) | np.uint64(1)
-        self.salt = mix64(np.arange(1, bands + 1, dtype=np.uint64))
-        self.place = mix64(np.arange(1, n + 1, dtype=np.uint64))
+    def __init__(self, samples: int, bits: int):
+        draw = np.random.default_rng(samples)
+        self.a = draw.integers(1, 1 << 32, samples, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+        self.b = draw.integers(0, 1 << 32, samples, dtype=np.uint64).astype(np.uint32)
+        self.place = mix64(np.arange(1, samples + 1, dtype=np.uint64))
+        self.bits = bits
 
     def samples(self, shingles: np.ndarray) -> np.ndarray:
         x = (shingles >> np.uint64(32)).astype(np.uint32)
         low = np.full(len(self.a), 0xFFFFFFFF, dtype=np.uint32)
-        for i in range(0, len(x), 1024):
-            part = self.a[:, None] * x[None, i:i + 1024] + self.b[:, None]
+        step = max(1, 120_000 // len(self.a))
+        for i in range(0, len(x), step):
+            part = self.a[:, None] * x[None, i:i + step] + self.b[:, None]
             np.minimum(low, part.min(axis=1), out=low)
-        return low
+        return low.astype(np.uint64)
+
+    def odd(self, low: np.ndarray) -> np.ndarray:
+        bit = (mix64(low + self.place) % np.uint64(self.bits)).astype(np.int64)
+        parity = np.bincount(bit, minlength=self.bits).astype(np.uint8) & np.uint8(1)
+        return np.packbits(parity).view(np.int64)
+
+
+def set_class(shingles: np.ndarray) -> list[int]:
+    """The set's 128-bit hash as two signed 64-bit numbers."""
+    c = xxhash.xxh3_128_intdigest(shingles.tobytes())
+    return np.array([c >> 64, c & ((1 << 64) - 1)], dtype=np.uint64).view(np.int64).tolist()
+
+
+class Signer:
+    """Shingle set -> (128-bit class, band keys, coarse odd sketch)."""
+
+    def __init__(self, bands: int, rows: int = BAND_ROWS):
+        draw = np.random.default_rng(bands)
+        self.bands, self.rows, self.hashes = bands, rows, MinHash(bands * rows, COARSE[1])
+        self.weights = draw.integers(1, 1 << 63, rows, dtype=np.uint64) | np.uint64(1)
+        self.salt = mix64(np.arange(1, bands + 1, dtype=np.uint64))
 
     def sign(self, shingles: np.ndarray):
-        low = self.samples(shingles).astype(np.uint64)
+        low = self.hashes.samples(shingles)
         keys = mix64((low.reshape(self.bands, self.rows) * self.weights).sum(axis=1, dtype=np.uint64) ^ self.salt)
-        bit = mix64(low + self.place) % np.uint64(SKETCH_BITS)
-        odd = np.bincount(bit.astype(np.int64), minlength=SKETCH_BITS).astype(np.uint8) & np.uint8(1)
-        c = xxhash.xxh3_128_intdigest(shingles.tobytes())
-        both = np.array([c >> 64, c & ((1 << 64) - 1)], dtype=np.uint64).view(np.int64)
-        return int(both[0]), int(both[1]), keys.view(np.int64), np.packbits(odd).view(np.int64)
+        return (*set_class(shingles), keys.view(np.int64), self.hashes.odd(low))
 
 
 def signatures(docs: DataFrame, bands: int, size: int = SHINGLE_WORDS) -> DataFrame:
@@ -106,43 +124,46 @@ def signatures(docs: DataFrame, bands: int, size: int = SHINGLE_WORDS) -> DataFr
         sign, "uid long, doc_id long, n_shingles long, c1 long, c2 long, bands array<long>, sketch array<long>"), "sign")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(uid, shingles) of ``wanted(uid, doc_id, c1, c2)``: whole sets, read again from the texts."""
+def full_sets(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS,
+              with_fine: bool = False) -> DataFrame:
+    """(uid, shingles, n_shingles, fine) of ``wanted(uid, doc_id, c1, c2)``: whole sets, read again
+    from the texts, and their fine odd sketches."""
     def sets(batches):
-        known = WordHashes()
+        known, fine = WordHashes(), MinHash(FINE[0], FINE[1])
         for batch in batches:
-            out = {k: [] for k in ("doc_id", "c1", "c2", "shingles")}
+            out = {k: [] for k in ("doc_id", "c1", "c2", "shingles", "fine")}
             for doc_id, text in zip(batch.column("doc_id").to_pylist(),
                                     batch.column("text").cast(pa.binary()).to_pylist()):
                 found = shingle_hashes(known.of(text.lower().split()), size)
-                c = xxhash.xxh3_128_intdigest(found.tobytes())
-                both = np.array([c >> 64, c & ((1 << 64) - 1)], dtype=np.uint64).view(np.int64).tolist()
-                for name, v in zip(out, (doc_id, *both, found.view(np.int64))):
+                sketch = fine.odd(fine.samples(found)) if with_fine and len(found) else None
+                for name, v in zip(out, (doc_id, *set_class(found), found.view(np.int64), sketch)):
                     out[name].append(v)
+            many = pa.list_(pa.int64())
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
-                ("doc_id", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("shingles", pa.list_(pa.int64()))]))
+                ("doc_id", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("shingles", many), ("fine", many)]))
 
     w = wanted.select("uid", F.col("doc_id").alias("w_doc"), F.col("c1").alias("w1"), F.col("c2").alias("w2"))
     ids = w.select("w_doc").distinct()
     rows = id_and_text(docs)
     rows = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("w_doc")), "left_semi")
-    found = rows.mapInArrow(sets, "doc_id long, c1 long, c2 long, shingles array<long>")
-    return (found.join(w, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("c1") == F.col("w1"))
-                       & (F.col("c2") == F.col("w2"))).select("uid", "shingles").dropDuplicates(["uid"]))
+    found = rows.mapInArrow(sets, "doc_id long, c1 long, c2 long, shingles array<long>, fine array<long>")
+    matched = found.join(w, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("c1") == F.col("w1"))
+                         & (F.col("c2") == F.col("w2"))).dropDuplicates(["uid"])
+    return materialize(matched.select("uid", "shingles", F.size("shingles").cast("long").alias("n_shingles"), "fine"),
+                       "sets")
 
 
-def _may_link(n_a: Column, s_a: Column, n_b: Column, s_b: Column, threshold: float, cut: int) -> Column:
-    """Sizes within the threshold of each other, and the sketches' XOR within ``cut``."""
+def _may_link(n_a: Column, s_a: Column, n_b: Column, s_b: Column, threshold: float, samples: int,
+              bits: int, margin: float) -> Column:
+    """Sizes within the threshold of each other, and the sketches' XOR within the margin."""
     differ = sum((F.bit_count(F.get(s_a, F.lit(i)).bitwiseXOR(F.get(s_b, F.lit(i))))
-                  for i in range(SKETCH_BITS // 64)), F.lit(0))
-    return (F.least(n_a, n_b) >= F.greatest(n_a, n_b) * threshold) & (differ <= cut)
+                  for i in range(bits // 64)), F.lit(0))
+    return ((F.least(n_a, n_b) >= F.greatest(n_a, n_b) * threshold)
+            & (differ <= sketch_cut(threshold, samples, bits, margin)))
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame, reps: DataFrame, threshold: float, size: int) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """(src, dst) of the ``pairs(a, b)`` whose full sets are similar enough; written once."""
-    wanted = (pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-              .join(reps.select("uid", "doc_id", "c1", "c2"), "uid"))
-    sets = materialize(full_sets(docs, wanted, size), "sets")
     one = sets.select(F.col("uid").alias("a"), F.col("shingles").alias("in_a"))
     two = sets.select(F.col("uid").alias("b"), F.col("shingles").alias("in_b"))
     shared = F.size(F.array_intersect("in_a", "in_b")).cast("long")
@@ -160,7 +181,6 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     ``component_id`` is the smallest doc_id reachable over links; ``kept`` marks the document of
     that id and ``first`` one row of each component (the two differ where a doc_id is repeated)."""
     bands = bands_for(threshold)
-    cut = sketch_cut(threshold, bands * BAND_ROWS)
     signed = signatures(docs, bands, size)
     classes = signed.where(F.col("n_shingles") > 0).groupBy("c1", "c2").agg(F.min("uid").alias("rep"))
     # one row per document with the representative of its class; rows without a set stand alone
@@ -180,13 +200,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
         a = known.select(F.col("uid").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
         b = known.select(F.col("uid").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
         return (pairs.join(a, "a").join(b, "b")
-                .where(_may_link(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"), threshold, cut))
+                .where(_may_link(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"), threshold,
+                                 bands * BAND_ROWS, *COARSE[1:]))
                 .select("a", "b"))
 
+    def sets_of(uids: DataFrame, with_fine: bool) -> DataFrame:
+        return full_sets(docs, uids.distinct().join(reps.select("uid", "doc_id", "c1", "c2"), "uid"), size, with_fine)
+
     stars = (buckets.where(F.col("uid") != F.col("centre"))
              .select(F.least("uid", "centre").alias("a"), F.greatest("uid", "centre").alias("b")).distinct())
     star_pairs = materialize(judged(stars), "pairs")
-    links = _confirm(docs, star_pairs, reps, threshold, size)
+    links = _confirm(star_pairs, sets_of(star_pairs.select(F.explode(F.array("a", "b")).alias("uid")), False), threshold)
 
     # documents that a doc_id repeated on several rows holds together are linked as well
     repeats = (member.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
@@ -206,10 +230,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
         "key", "uid", F.coalesce("component", "uid").alias("component"))
     open_keys = (of.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                        F.count("*").alias("n")).where("lo <> hi"))
-    open_rows = materialize(of.join(open_keys.select("key", "n"), "key").join(known, "uid"), "open")
+    open_rows = materialize(of.join(open_keys.select("key", "n"), "key"), "open")
+    open_sets = sets_of(open_rows.select("uid"), True)
     # members are dealt over blocks; every two blocks of a bucket meet in a task of their own
     blocks = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
-    dealt = open_rows.withColumn("blocks", blocks).withColumn(
+    finer = open_sets.select("uid", "n_shingles", F.col("fine").alias("sketch"))
+    dealt = open_rows.join(finer, "uid").withColumn("blocks", blocks).withColumn(
         "block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
     def side(name: str, x: Column, y: Column) -> DataFrame:  # noqa: E306
         meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -221,11 +247,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     left, right = side("a", F.col("block"), F.col("other")), side("b", F.col("other"), F.col("block"))
     rest = (left.join(right, ["key", "x", "y"])
             .where((F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & _may_link(
-                F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"), threshold, cut))
+                F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"), threshold, *FINE))
             .select("a", "b").distinct())
     rest = materialize(rest.join(star_pairs, ["a", "b"], "left_anti"), "rest")
     if rest.limit(1).count():
-        more = _confirm(docs, rest, reps, threshold, size)
+        more = _confirm(rest, open_sets, threshold)
         if more.limit(1).count():
             label = labels(links.unionByName(more))
 
