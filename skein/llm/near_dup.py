@@ -234,21 +234,23 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     open_sets = sets_of(open_rows.select("uid"), True)
     # members are dealt over blocks; every two blocks of a bucket meet in a task of their own
     blocks = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
-    finer = open_sets.select("uid", "n_shingles", F.col("fine").alias("sketch"))
+    finer = open_sets.select("uid", "n_shingles", F.col("fine").alias("sketch")).join(reps.select("uid", "bands"), "uid")
     dealt = open_rows.join(finer, "uid").withColumn("blocks", blocks).withColumn(
         "block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
     def side(name: str, x: Column, y: Column) -> DataFrame:  # noqa: E306
         meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-        rows = dealt.select("key", "uid", "component", "n_shingles", "sketch", "block", meets)
+        rows = dealt.select("key", "uid", "component", "n_shingles", "sketch", "bands", "block", meets)
         return rows.select("key", x.alias("x"), y.alias("y"), F.col("uid").alias(name),
                            F.col("component").alias(f"c_{name}"), F.col("n_shingles").alias(f"n_{name}"),
-                           F.col("sketch").alias(f"s_{name}"))
+                           F.col("sketch").alias(f"s_{name}"), F.col("bands").alias(f"k_{name}"))
 
     left, right = side("a", F.col("block"), F.col("other")), side("b", F.col("other"), F.col("block"))
     rest = (left.join(right, ["key", "x", "y"])
             .where((F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & _may_link(
-                F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"), threshold, *FINE))
-            .select("a", "b").distinct())
+                F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"), threshold, *FINE)
+                # of the buckets that two documents share, one reports them
+                & (F.col("key") == F.array_min(F.array_intersect("k_a", "k_b"))))
+            .select("a", "b"))
     rest = materialize(rest.join(star_pairs, ["a", "b"], "left_anti"), "rest")
     if rest.limit(1).count():
         more = _confirm(rest, open_sets, threshold)
