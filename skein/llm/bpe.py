@@ -1,60 +1,117 @@
-"""Whole texts to token ids with the ``tokenizers`` library, one call per new word.
+"""Whole texts to token ids with the ``tokenizers`` library, which sees each new word once.
 
-Both vocabularies in use split text before they merge, and neither lets a token reach across a
-space that follows a non-space. So a text is cut there, each distinct piece is encoded once per
-worker by the library itself, and its ids are kept. Texts with a space after other white space
-(where the byte-level splitter looks ahead) go through the library whole. The tests compare ids
-with those of whole-text calls.
+Neither vocabulary in use lets a token reach across a space that follows a non-space. So a text is
+cut there, each piece not met before is encoded by the library, and its ids are kept in a bounded
+table. A piece of Latin letters with punctuation after them is two runs that both splitters keep
+apart, so its letters go straight to the library's merge model; all others take the library's full
+path. A text with a space after other white space, where the byte-level splitter looks ahead, goes
+through the library whole. The tests compare ids with those of whole-text calls.
 """
 
 from __future__ import annotations
 
 import os
-import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
-PIECE_CACHE = 300_000
-_SPACE_RUN = re.compile(r"\s ")
+PIECE_CACHE = 600_000  # pieces kept per worker; beyond it the table is started anew
+PUNCTUATION = ".,;:!?%&$#*|)"
+_BEYOND_LATIN = "\u0250"
+_NOT_SPACE_FOR_ALL = "\x1c\x1d\x1e\x1f"  # white space to Python's split(), not to the library
+
+
+def _byte_letters() -> dict[int, str]:
+    """byte -> the letter that byte-level BPE writes for it: itself where it is printable Latin-1,
+    else the next unused code point from 256 on."""
+    shown = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
 
 
 class IdEncoder:
     """``spaces_kept``: the vocabulary encodes the space before a word (byte-level BPE); else white
-    space is dropped."""
+    space is dropped and words are normalised."""
 
     def __init__(self, path: str, spaces_kept: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
         self.spaces_kept = spaces_kept
-        self.known: dict[str, bytes] = {}
+        self.starts: dict[str, bytes | None] = {}  # pieces that start a text
+        self.others: dict[str, bytes | None] = {} if spaces_kept else self.starts
+        self.tails: dict[str, bytes] = {"": b""}
+        self.newline = self._whole(["\n"])[0]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
+        return [array("I", e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, text: str) -> list[str] | None:
-        if not self.spaces_kept:
-            return text.split(" ")
-        if _SPACE_RUN.search(text):
+    def _word(self, piece: str, lead: str) -> bytes | None:
+        """Ids of Latin letters and punctuation after them; None for any other piece."""
+        core = piece.rstrip(PUNCTUATION)
+        if not core.isalpha() or max(core) >= _BEYOND_LATIN:
             return None
-        first, *rest = text.split(" ")
-        return [first, *[" " + p for p in rest]]
+        tail = piece[len(core):]
+        if self.normalizer is not None:
+            core = core.lower() if core.isascii() else self.normalizer.normalize_str(core)
+            if not core.isalpha():
+                return None
+        if tail not in self.tails:
+            self.tails[tail] = self._whole([tail])[0]
+        if core.isascii():
+            letters = (lead and _LETTERS[ord(" ")]) + core
+        else:
+            letters = (lead + core).encode().decode("latin-1").translate(_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes() + self.tails[tail]
+
+    def _lines(self, piece: str, lead: str) -> bytes | None:
+        """Ids of pieces that hold single line breaks between words (byte-level: a token each)."""
+        first, *rest = piece.split("\n")
+        parts = [self._word(first, lead), *[self._word(p, "") for p in rest]]
+        return None if None in parts else self.newline.join(parts)
+
+    def _learn(self, known: dict[str, bytes | None], pieces: set[str], lead: str) -> None:
+        """Ids of new pieces; None for one after which the byte-level splitter would look ahead."""
+        odd = []
+        for p in pieces:
+            if self.spaces_kept and (not p or p[-1].isspace()):
+                known[p] = None
+            elif (data := self._lines(p, lead) if self.spaces_kept and "\n" in p else self._word(p, lead)) is not None:
+                known[p] = data
+            else:
+                odd.append(p)
+        known.update(zip(odd, self._whole([lead + p for p in odd])))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (little-endian unsigned 32-bit) of each text."""
-        known = self.known
-        cut = [self._pieces(t) for t in texts]
-        if len(known) > PIECE_CACHE:
-            known.clear()
-        new = list({p for pieces in cut if pieces for p in pieces if p not in known})
-        for i in range(0, len(new), 2000):
-            known.update(zip(new[i:i + 2000], self._whole(new[i:i + 2000])))
+        starts, others = self.starts, self.others
+        if len(starts) + len(others) + len(self.tails) > PIECE_CACHE:
+            starts.clear()
+            others.clear()
+            self.tails = {"": b""}
+        if self.spaces_kept:
+            cut = [t.split(" ") for t in texts]
+            heads = [pieces.pop(0) for pieces in cut]
+            self._learn(starts, set(heads).difference(starts), "")
+            self._learn(others, set().union(*cut).difference(others), " ")
+        else:
+            cut = [t.split(" ") if any(c in t for c in _NOT_SPACE_FOR_ALL) else t.split() for t in texts]
+            heads = [""] * len(cut)
+            starts[""] = b""
+            self._learn(others, set().union(*cut).difference(others), "")
         out = []
-        for text, pieces in zip(texts, cut):
-            data = self._whole([text])[0] if pieces is None else b"".join([known[p] for p in pieces])
+        for text, head, pieces in zip(texts, heads, cut):
+            try:
+                data = starts[head] + b"".join(map(others.__getitem__, pieces))
+            except TypeError:  # a None: white space before a space
+                data = self._whole([text])[0]
             out.append(np.frombuffer(data, dtype="<u4"))
         return out
 

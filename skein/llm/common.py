@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 from skein.session import default_parallelism, materialize
 
 # Word hashes kept per Python worker; beyond it the table is started anew (it is only a cache).
-WORD_CACHE = 400_000
+WORD_CACHE = 200_000
+
+
+# Texts handed to a Python worker at a time. Spark's own 10,000 rows are meant for short rows.
+TEXTS_PER_BATCH = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def id_and_text(docs: DataFrame) -> DataFrame:
     """(doc_id long, text string): only the columns an operator works on, whatever else ``docs``
-    carries, so extra columns can't clash. A null text becomes empty."""
+    carries, so extra columns can't clash. A null text becomes empty. Sessions that leave the Arrow
+    batch size at its default get one that suits texts."""
+    conf = docs.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 10_000:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 

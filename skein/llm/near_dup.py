@@ -192,8 +192,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     known = reps.select("uid", "n_shingles", "sketch")
 
     keys = reps.select("uid", F.explode("bands").alias("key"))
-    by_centre = F.struct(F.xxhash64("key", "uid").alias("h"), F.col("uid").alias("u"))
-    shared = keys.groupBy("key").agg(F.min(by_centre)["u"].alias("centre"), F.count("*").alias("n")).where("n > 1")
+    # the least uid in an order of each bucket's own; a plain number, so that counting needs no sort
+    turn = F.xxhash64("key")
+    shared = (keys.groupBy("key").agg(F.min(F.col("uid").bitwiseXOR(turn)).alias("least"), F.count("*").alias("n"))
+              .where("n > 1").select("key", F.col("least").bitwiseXOR(turn).alias("centre"), "n"))
     buckets = materialize(keys.join(shared, "key"), "buckets")
 
     def judged(pairs: DataFrame) -> DataFrame:

@@ -306,3 +306,17 @@ def test_quality(spark, docs, none):
     assert {r.score for r in quality.score_documents(docs, labels.limit(0)).collect()} == {0.5}
     assert quality.score_documents(none, labels).count() == 0
     assert quality.keep_good(docs, labels.limit(0)).columns == docs.columns
+
+
+@pytest.mark.parametrize("name,kept", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_cached_ids_equal_whole_text_ids(name, kept):
+    from skein.llm.bpe import IdEncoder
+    draw = np.random.default_rng(3)
+    alphabet = list("ab'sé1 2\n\t   \x01|!") + ["don't", " the", "  ", "𝒳", "́", "Σ", "<|endoftext|>", " \n", "\n "]
+    texts = ["".join(draw.choice(alphabet, draw.integers(0, 40))) for _ in range(3000)]
+    texts += [t or "" for _, t in ROWS] + [" ", "", "a ", " a", "\n", "a  b", "a\n b", "a \nb"]
+    plain = brute.tokenizer(name)
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    enc = IdEncoder(public_tokenizers.path(name), kept)
+    for _ in range(2):
+        assert [i.tolist() for part in (texts[:1000], texts[1000:]) for i in enc.encode(part)] == want
