@@ -28,6 +28,7 @@ from skein.session import default_parallelism, materialize
 
 WINDOW = 13
 BLOCK_WORDS = 2_000_000  # words whose windows a task settles at a time
+BUCKET_BYTES = 32 << 20  # text whose windows meet in one bucket, the group that a task holds
 NULL_ID = -(1 << 63)
 KEY = np.uint64((1 << 56) - 1)
 
@@ -96,11 +97,17 @@ def _target(docs: np.ndarray, n: int) -> np.ndarray:
     return ((mix64(docs.astype(np.uint64)) >> np.uint64(32)) % np.uint64(n)).astype(np.int32)
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def bucket_count(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets enough for the bytes of all texts, so that a bucket stays as small however large the
+    input or few the shuffle partitions; at least two per shuffle partition."""
+    total = id_and_text(docs).agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    return min(max(2 * default_parallelism(docs.sparkSession), -(-total // bucket_bytes)), (1 << 31) - 1)
+
+
+def repeated_windows(docs: DataFrame, window: int = WINDOW, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(doc_id, keys): for every document, the keys of its windows that also start in a document
     with a smaller doc_id, packed; written once. A null doc_id is NULL_ID here."""
-    spark = docs.sparkSession
-    buckets = 2 * default_parallelism(spark)
+    buckets = bucket_count(docs, bucket_bytes)
 
     def settle(batches):
         known, held, ids, words = WordHashes(), [], [], 0
@@ -172,10 +179,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .groupBy("bucket").applyInArrow(gather, "doc_id long, keys binary"), "repeats")
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(doc_id, n_words, n_removed, removed: array of word intervals, kept_text)."""
     import zstandard
-    found = repeated_windows(docs, window).withColumnRenamed("doc_id", "__owner")
+    found = repeated_windows(docs, window, bucket_bytes).withColumnRenamed("doc_id", "__owner")
     free_shuffles(docs.sparkSession)
 
     def compress(batches):

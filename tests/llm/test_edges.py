@@ -54,6 +54,11 @@ def test_substring_dedup(docs, none):
         ends = [(i.start, i.end) for i in r.removed]
         assert sum(b - a for a, b in ends) == r.n_removed and all(x[1] < y[0] for x, y in zip(ends, ends[1:]))
     assert substring_dedup.remove_repeats(none).count() == 0
+    # more buckets, as a larger input has, change nothing
+    assert substring_dedup.bucket_count(none) == 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    assert substring_dedup.bucket_count(docs, 64) > substring_dedup.bucket_count(docs)
+    finer = substring_dedup.remove_repeats(docs, bucket_bytes=64)
+    assert sorted(map(str, finer.collect())) == sorted(map(str, got.collect()))
 
 
 def test_rabin_karp_windows_agree_with_equality():
