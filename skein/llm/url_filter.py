@@ -8,7 +8,7 @@ URL looks up only the rules listed under its own tokens.
 Fixed host/path rules go before the mined ones; the longest that fits wins.
 
 Defined results: a null or schemeless URL has empty host and path, fits no rule, has no token and
-is allowed; without labelled rows of the bad class no rule is mined and all is allowed; repeated
+is allowed; with fewer than MIN_URLS bad labelled rows no rule is mined and all is allowed; repeated
 rows are each judged; an empty table gives no rows; other columns are ignored.
 """
 
@@ -25,7 +25,9 @@ from skein.session import materialize
 # (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.5
+# A rule holds for at least this share of the labelled URLs, and for MIN_URLS of them however few
+# are labelled: one bad page says nothing about its whole domain.
+MIN_SUPPORT, MIN_CONFIDENCE, MIN_URLS = 0.002, 0.5, 10
 # Rules that may be broadcast as an index; more are joined by a shuffle.
 BROADCAST_RULES = 50_000
 BAD = "=bad"
@@ -79,15 +81,17 @@ def doc_of(url: Column) -> Column:
 
 
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
-               min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+               min_confidence: float = MIN_CONFIDENCE, min_urls: int = MIN_URLS) -> DataFrame:
     """(rule_id, tokens, confidence, support) mined from ``labelled(tokens, bad)``; written once."""
     spark = labelled.sparkSession
     baskets = labelled.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD))))
                               .otherwise(F.col("tokens")).alias("items")).where(F.size("items") > 0)
     baskets = materialize(baskets, "baskets")
-    if baskets.where(F.array_contains("items", BAD)).limit(1).count() == 0:
+    seen = baskets.agg(F.count("*").alias("all"), F.count_if(F.array_contains("items", BAD)).alias("bad")).first()
+    if seen.bad < min_urls:
         return spark.createDataFrame([], "rule_id long, tokens array<string>, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    share = max(min_support, min_urls / seen["all"])
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(baskets)
     found = (model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
              .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"))
     rules = materialize(found.withColumn("rule_id", F.xxhash64("tokens")), "rules")
@@ -121,7 +125,8 @@ def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
-          min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+          min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+          min_urls: int = MIN_URLS) -> DataFrame:
     """(page_id, host, path, rule, verdict, mined_rule, confidence) for every row of ``pages``.
 
     A page is labelled bad when the document that its URL names is of low quality or toxic."""
@@ -134,7 +139,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str, s
              .groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("bad")))
     labelled = (rows.select(doc_of(url).alias("doc_id"), tokens.alias("tokens"))
                 .where(F.col("doc_id").isNotNull()).join(known, "doc_id").select("tokens", "bad"))
-    mined = mine_rules(labelled, min_support, min_confidence)
+    mined = mine_rules(labelled, min_support, min_confidence, min_urls)
     best = matches(rows.select("url", tokens.alias("tokens")), mined)
     fixed = fixed_rule(F.col("host"), F.col("path"), rules)
     return (rows.join(best, "url", "left").withColumn("__fixed", fixed)

@@ -325,3 +325,16 @@ def test_cached_ids_equal_whole_text_ids(name, kept):
     enc = IdEncoder(public_tokenizers.path(name), kept)
     for _ in range(2):
         assert [i.tolist() for part in (texts[:1000], texts[1000:]) for i in enc.encode(part)] == want
+
+
+def test_a_url_rule_needs_enough_pages(spark):
+    """Nine bad pages of a host make no rule; the tenth does, and a rule no surer than a shorter one goes."""
+    schema = "page_id long, url string"
+    labels = spark.createDataFrame([(i, int(i >= 20)) for i in range(60)], "doc_id long, quality int").selectExpr("*", "0 AS toxic")
+    good = [(100 + i, f"http://fine.io/a/{i + 20}") for i in range(40)]
+    for n in (url_filter.MIN_URLS - 1, url_filter.MIN_URLS):
+        bad = [(i, f"http://worse.biz/x/{i}") for i in range(n)]
+        got = url_filter.judge(spark.createDataFrame(good + bad + [(300, "http://worse.biz/y/new")], schema), labels).collect()
+        want = "block" if n >= url_filter.MIN_URLS else "allow"
+        assert {r.verdict for r in got if r.host == "worse.biz"} == {want}
+        assert {r.verdict for r in got if r.host == "fine.io"} == {"allow"}
