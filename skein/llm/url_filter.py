@@ -1,15 +1,16 @@
 """Operator 4: URL filtering by association rules.
 
 Spark's FP-growth mines which combinations of URL tokens go with labelled bad pages; rules are kept
-by support and confidence, a rule that a shorter, at least as confident rule already covers is
-pruned, and the rest match by an inverted index: each rule is listed under its rarest token, and a
-URL looks up only the rules listed under its own tokens.
+by support and confidence, a rule that a shorter, at least as confident rule already covers (the
+empty one, the share of bad labels, included) is pruned, and the rest match by an inverted index:
+each rule is listed under its rarest token, and a URL looks up only the rules listed under its own
+tokens.
 
 Fixed host/path rules go before the mined ones; the longest that fits wins.
 
 Defined results: a null or schemeless URL has empty host and path, fits no rule, has no token and
-is allowed; with fewer than MIN_URLS bad labelled rows no rule is mined and all is allowed; repeated
-rows are each judged; an empty table gives no rows; other columns are ignored.
+is allowed; with fewer than MIN_URLS bad labelled rows, or no others, no rule is mined and all is
+allowed; repeated rows are each judged; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -92,7 +93,8 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
         return spark.createDataFrame([], "rule_id long, tokens array<string>, confidence double, support double")
     share = max(min_support, min_urls / seen["all"])
     model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(baskets)
-    found = (model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
+    # the empty rule is as confident as the share of bad labels: a rule no surer than that (lift 1) is redundant
+    found = (model.associationRules.where((F.col("consequent") == F.array(F.lit(BAD))) & (F.col("lift") > 1))
              .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"))
     rules = materialize(found.withColumn("rule_id", F.xxhash64("tokens")), "rules")
     # a rule is redundant when dropping one of its tokens leaves a rule at least as confident
