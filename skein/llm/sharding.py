@@ -4,7 +4,8 @@ Equal texts form one atomic group. Groups are ordered by a hash of their text, a
 groups share a slot of a fixed number of hash slots; a slot holds groups whole, so it is atomic too.
 The slots' byte sizes are one bounded, ordered array whatever the corpus, and the smallest shard
 capacity for which a greedy left-to-right cut needs no more than the wanted shards is found by
-binary search on it. Documents then read their shard off the cuts. Column functions only.
+binary search on it. Of the cuts within that capacity, a second search takes those whose smallest
+shard is largest. Documents then read their shard off the cuts. Column functions only.
 
 With ``slots`` far above the number of shards, a shard differs from the mean by one slot (the mean
 divided by thousands) or by what the largest group of copies forces.
@@ -47,7 +48,38 @@ def minimax_cuts(sizes: np.ndarray, shards: int) -> tuple[int, list[int]]:
             low = mid + 1
         else:
             high = mid
-    return low, feasible(before, low, shards) or []
+    return low, even_cuts(before, low, shards)
+
+
+def even_cuts(before: np.ndarray, capacity: int, shards: int) -> list[int]:
+    """Cut points within a feasible ``capacity`` whose smallest shard is as large as can be, so that
+    a shard that one large group fills doesn't leave others empty: a second binary search."""
+    def ends(floor: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """[k]: the places where k shards of ``floor`` to ``capacity`` bytes can end; and, for every
+        place, the first and the last place where the shard that ends there can start."""
+        first = np.searchsorted(before, before - capacity, side="left")
+        last = np.searchsorted(before, before - floor, side="right") - 1
+        last = np.minimum(last, np.arange(len(before)))
+        reached = [np.arange(len(before)) == 0]
+        for _ in range(shards):
+            upto = np.concatenate([[0], np.cumsum(reached[-1])])
+            reached.append((last >= first) & (upto[np.maximum(last, first - 1) + 1] > upto[first]))
+        return reached, first, last
+
+    low, high = 0, int(before[-1]) // shards
+    while low < high:
+        mid = (low + high + 1) // 2
+        if ends(mid)[0][shards][-1]:
+            low = mid
+        else:
+            high = mid - 1
+    reached, first, last = ends(low)
+    cuts, at = [], len(before) - 1
+    for left in range(shards, 1, -1):  # from the right, each nearest to an equal share of the rest
+        starts = first[at] + np.flatnonzero(reached[left - 1][first[at]:last[at] + 1])
+        at = int(starts[np.abs((before[at] - before[starts]) * left - before[at]).argmin()])
+        cuts.append(at)
+    return cuts[::-1]
 
 
 def assign(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:

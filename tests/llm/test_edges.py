@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import itertools
 import tempfile
 
 import numpy as np
@@ -302,6 +303,28 @@ def test_minimax_capacity_is_the_smallest(seed):
 
     assert needed(capacity) <= shards and (capacity == 0 or needed(capacity - 1) > shards or capacity == -(-sizes.sum() // shards))
     assert max(map(sum, np.split(sizes, cuts))) <= capacity
+    assert len(cuts) == shards - 1 and cuts == sorted(cuts)
+
+
+def test_a_large_group_leaves_no_shard_empty():
+    """One group of copies holds a third of all bytes: the other shards share the rest evenly."""
+    sizes = np.full(3000, 10)
+    sizes[1200] = 15_000
+    capacity, cuts = sharding.minimax_cuts(sizes, 16)
+    parts = sorted(int(p.sum()) for p in np.split(sizes, cuts))
+    assert capacity == 15_000 and parts[-1] == 15_000
+    assert parts[0] > 1900 and parts[-2] < 2100
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_cuts_against_every_partition(seed):
+    """The largest shard as small, and then the smallest as large, as any contiguous partition has."""
+    draw = np.random.default_rng(seed)
+    sizes, shards = draw.integers(0, 12, draw.integers(1, 9)), int(draw.integers(1, 5))
+    shape = lambda cuts: [int(p.sum()) for p in np.split(sizes, cuts)]
+    every = [shape(c) for c in itertools.combinations_with_replacement(range(len(sizes) + 1), shards - 1)]
+    got = shape(sharding.minimax_cuts(sizes, shards)[1])
+    assert (max(got), -min(got)) == min((max(p), -min(p)) for p in every)
 
 
 def test_quality(spark, docs, none):
