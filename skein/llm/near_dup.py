@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from skein.llm.common import WordHashes, id_and_text, mix64, shingle_hashes
 from skein.operators.graph import Graph, components
+from skein.operators.relational import hot_keys, skew_join
 from skein.session import materialize
 
 SHINGLE_WORDS, THRESHOLD = 5, 0.8
@@ -259,11 +260,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
         if more.limit(1).count():
             label = labels(links.unionByName(more))
 
-    of_row = (member.join(label.select(F.col("id").alias("rep"), "component"), "rep", "left")
-              .withColumn("component", F.coalesce("component", "rep")))
-    least = of_row.groupBy("component").agg(F.min("doc_id").alias("component_id"),
-                                            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid"))["uid"].alias("one"))
-    return (of_row.join(least, "component")
+    # classes first, so that copies are counted before they move; a hot component's classes and a hot
+    # class's rows then meet their one answer in the map tasks
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "uid")
+    per_rep = member.groupBy("rep").agg(F.min("doc_id").alias("least"), F.min(first).alias("first"), F.count("*").alias("n"))
+    per_rep = materialize(per_rep.join(label.select(F.col("id").alias("rep"), "component"), "rep", "left")
+                          .withColumn("component", F.coalesce("component", "rep")), "classes")
+    of_component = materialize(per_rep.groupBy("component").agg(
+        F.min("least").alias("component_id"), F.min("first")["uid"].alias("one"), F.count("*").alias("n")), "least")
+    hot = hot_keys(per_rep, "component", counts=of_component, count_col="n")
+    answer = materialize(skew_join(per_rep.select("rep", "component"),
+                                   of_component.select("component", "component_id", "one"), "component", hot=hot)
+                         .select("rep", "component_id", "one"), "answer")
+    hot = hot_keys(member, "rep", counts=per_rep, count_col="n")
+    return (skew_join(member, answer, "rep", hot=hot)
             .select("uid", "doc_id", "n_shingles", "component_id",
                     F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
                     (F.col("uid") == F.col("one")).alias("first")))
