@@ -1,10 +1,12 @@
 """Operator 4: URL filtering by association rules.
 
-Spark's FP-growth mines which combinations of URL tokens go with labelled bad pages; rules are kept
-by support and confidence, a rule that a shorter, at least as confident rule already covers (the
-empty one, the share of bad labels, included) is pruned, and the rest match by an inverted index:
-each rule is listed under its rarest token, and a URL looks up only the rules listed under its own
-tokens.
+Association rules say which combinations of URL tokens go with labelled bad pages. They are mined
+level by level over the token sets of at least MIN_URLS bad pages, however many pages there are; a
+set that holds for the same pages as a smaller one, or for bad pages only, is not extended, as no
+rule over more tokens could be surer. Rules are kept by confidence and by the odds that chance made
+them, a rule that a shorter, at least as confident rule already covers (the empty one, the share of
+bad labels, included) is pruned, and the rest match by an inverted index: each rule is listed under
+its rarest token, and a URL looks up only the rules listed under its own tokens.
 
 Fixed host/path rules go before the mined ones; the longest that fits wins.
 
@@ -16,22 +18,22 @@ allowed; repeated rows are each judged; an empty table gives no rows; other colu
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.session import materialize
+from skein.session import materialize, release
 
 # (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-# A rule holds for at least this share of the labelled URLs, and for MIN_URLS of them however few
-# are labelled: one bad page says nothing about its whole domain.
-MIN_SUPPORT, MIN_CONFIDENCE, MIN_URLS = 0.002, 0.5, 10
-# Rules that may be broadcast as an index; more are joined by a shuffle.
+# A rule holds for MIN_URLS bad labelled pages, whatever the size of the table: one bad page says
+# nothing about its whole domain. CHANCE bounds the odds that as many bad pages come together at the
+# share of bad labels (ten of ten pass at any share up to a half).
+MIN_CONFIDENCE, MIN_URLS, CHANCE = 0.5, 10, 1e-3
+# Rules (or token sets) that may be broadcast as an index; more are joined by a shuffle.
 BROADCAST_RULES = 50_000
-BAD = "=bad"
 
 
 def host_of(url: Column) -> Column:
@@ -81,21 +83,82 @@ def doc_of(url: Column) -> Column:
     return F.regexp_extract(path_of(url), r"/([0-9]{1,18})(?:\.[A-Za-z]+)?/?$", 1).try_cast("long")
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
-               min_confidence: float = MIN_CONFIDENCE, min_urls: int = MIN_URLS) -> DataFrame:
+def _index(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else df
+
+
+def token_sets(labelled: DataFrame, min_urls: int = MIN_URLS) -> DataFrame | None:
+    """(tokens, n, bad): pages and bad pages of every token set that at least ``min_urls`` bad pages
+    of ``labelled(tokens, bad)`` hold, without those that hold for the same pages as a smaller set
+    and those that extend a set of bad pages only. None when there are none; written once a level."""
+    sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
+    rows = (labelled.groupBy(F.array_sort("tokens").alias("tokens"))
+            .agg(F.count("*").alias("n"), F.count_if("bad").alias("bad")))
+    rows = materialize(rows.withColumn("basket", F.monotonically_increasing_id()), "baskets")
+    pages = rows.agg(F.sum("n")).first()[0]
+    if not pages:
+        return None
+    # a token that all pages have adds nothing to the empty set
+    names = rows.select(F.explode("tokens").alias("token"), "n", "bad").groupBy("token").agg(*sums)
+    names = materialize(names.where((F.col("bad") >= min_urls) & (F.col("n") < pages))
+                        .withColumn("item", F.monotonically_increasing_id()), "tokens")
+    baskets = (rows.select("basket", "n", "bad", F.explode("tokens").alias("token"))
+               .join(_index(names.select("token", "item")), "token")
+               .groupBy("basket", "n", "bad").agg(F.array_sort(F.collect_list("item")).alias("items"))
+               .groupBy("items").agg(*sums).withColumn("basket", F.monotonically_increasing_id()))
+    baskets = materialize(baskets, "baskets")
+    level = names.select(F.array("item").alias("items"), "n", "bad")
+    held = baskets.select("basket", "n", "bad", F.explode("items").alias("item")).select(
+        "basket", "n", "bad", F.array("item").alias("items"))
+    found, k, last = [], 1, None
+    while level.limit(1).count():
+        found.append(level)
+        k += 1
+        # sets of a basket that share all but their last items join to one more item
+        open_sets = level.where("bad < n").select("items", F.col("n").alias("wider"))
+        held = materialize(held.join(_index(open_sets.select("items")), "items", "left_semi"), "held")
+        if last is not None:
+            release(last)
+        last = held
+        grown = (held.groupBy("basket", "n", "bad", F.slice("items", 1, k - 2).alias("head"))
+                 .agg(F.array_sort(F.collect_list(F.element_at("items", -1))).alias("ends"))
+                 .select("basket", "n", "bad", "head", "ends", F.explode("ends").alias("one"))
+                 .select("basket", "n", "bad", "head", "one", F.explode(F.filter(
+                     "ends", lambda e: e > F.col("one"))).alias("two"))
+                 .select("basket", "n", "bad", F.concat("head", F.array("one", "two")).alias("items")))
+        counts = grown.groupBy("items").agg(*sums).where(F.col("bad") >= min_urls)
+        smaller = counts.select("items", "n", "bad", F.explode(F.transform(
+            "items", lambda i: F.array_remove(F.col("items"), i))).alias("less"))
+        level = materialize(
+            smaller.join(open_sets.withColumnRenamed("items", "less"), "less").groupBy("items", "n", "bad")
+            .agg(F.count("*").alias("k"), F.min("wider").alias("wider"))
+            .where((F.col("k") == k) & (F.col("wider") > F.col("n"))).select("items", "n", "bad"), "level")
+        held = grown
+    if not found:
+        return None
+    sets = reduce(DataFrame.unionByName, found).withColumn("id", F.monotonically_increasing_id())
+    sets = materialize(sets, "sets")
+    return (sets.select("id", "n", "bad", F.explode("items").alias("item")).join(_index(names.select("item", "token")), "item")
+            .groupBy("id", "n", "bad").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+            .select("tokens", "n", "bad"))
+
+
+def mine_rules(labelled: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_urls: int = MIN_URLS,
+               chance: float = CHANCE) -> DataFrame:
     """(rule_id, tokens, confidence, support) mined from ``labelled(tokens, bad)``; written once."""
     spark = labelled.sparkSession
-    baskets = labelled.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD))))
-                              .otherwise(F.col("tokens")).alias("items")).where(F.size("items") > 0)
-    baskets = materialize(baskets, "baskets")
-    seen = baskets.agg(F.count("*").alias("all"), F.count_if(F.array_contains("items", BAD)).alias("bad")).first()
-    if seen.bad < min_urls:
+    labelled = materialize(labelled.where(F.size("tokens") > 0), "labelled")
+    seen = labelled.agg(F.count("*").alias("all"), F.count_if("bad").alias("bad")).first()
+    sets = token_sets(labelled, min_urls) if min_urls <= seen.bad < seen["all"] else None
+    if sets is None:
         return spark.createDataFrame([], "rule_id long, tokens array<string>, confidence double, support double")
-    share = max(min_support, min_urls / seen["all"])
-    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(baskets)
     # the empty rule is as confident as the share of bad labels: a rule no surer than that (lift 1) is redundant
-    found = (model.associationRules.where((F.col("consequent") == F.array(F.lit(BAD))) & (F.col("lift") > 1))
-             .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"))
+    share, sure = seen.bad / seen["all"], F.col("confidence")
+    # Chernoff's bound of the odds: exp(-n * divergence of the rule's share of bad pages from all labels')
+    diverges = sure * F.log(sure / share) + F.when(sure < 1, (1 - sure) * F.log((1 - sure) / (1 - share))).otherwise(0)
+    found = (sets.withColumn("confidence", F.col("bad") / F.col("n"))
+             .where((sure >= min_confidence) & (sure > share) & (F.exp(-F.col("n") * diverges) <= chance))
+             .select("tokens", "confidence", (F.col("bad") / seen["all"]).alias("support")))
     rules = materialize(found.withColumn("rule_id", F.xxhash64("tokens")), "rules")
     # a rule is redundant when dropping one of its tokens leaves a rule at least as confident
     wider = (rules.select("rule_id", "confidence", "tokens", F.explode("tokens").alias("t"))
@@ -127,8 +190,7 @@ def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
-          min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-          min_urls: int = MIN_URLS) -> DataFrame:
+          min_confidence: float = MIN_CONFIDENCE, min_urls: int = MIN_URLS) -> DataFrame:
     """(page_id, host, path, rule, verdict, mined_rule, confidence) for every row of ``pages``.
 
     A page is labelled bad when the document that its URL names is of low quality or toxic."""
@@ -137,11 +199,12 @@ def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str, s
     rows = rows.select("page_id", "url", host_of(url).alias("host"), path_of(url).alias("path"))
     tokens = url_tokens(url, F.col("host"), F.col("path"))
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic")
-             .where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-             .groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("bad")))
+             .withColumn("bad", (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1))
+             .where(F.col("doc_id").isNotNull() & (F.col("quality").isNotNull() | F.col("bad")))
+             .groupBy("doc_id").agg(F.max("bad").alias("bad")))
     labelled = (rows.select(doc_of(url).alias("doc_id"), tokens.alias("tokens"))
                 .where(F.col("doc_id").isNotNull()).join(known, "doc_id").select("tokens", "bad"))
-    mined = mine_rules(labelled, min_support, min_confidence, min_urls)
+    mined = mine_rules(labelled, min_confidence, min_urls)
     best = matches(rows.select("url", tokens.alias("tokens")), mined)
     fixed = fixed_rule(F.col("host"), F.col("path"), rules)
     return (rows.join(best, "url", "left").withColumn("__fixed", fixed)

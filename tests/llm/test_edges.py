@@ -361,3 +361,50 @@ def test_a_url_rule_needs_enough_pages(spark):
         want = "block" if n >= url_filter.MIN_URLS else "allow"
         assert {r.verdict for r in got if r.host == "worse.biz"} == {want}
         assert {r.verdict for r in got if r.host == "fine.io"} == {"allow"}
+
+
+def test_a_url_rule_holds_however_many_pages_there_are(spark):
+    """Ten bad pages of a host make a rule among 40 and among 8,000 other pages; toxic labels count without a quality."""
+    from pyspark.sql import functions as F
+    bad = spark.createDataFrame([(i, f"http://worse.biz/x/{i}") for i in range(10)] + [(90, "http://worse.biz/y/new")],
+                                "page_id long, url string")
+    for n in (40, 8000):
+        ids = spark.range(100, 100 + n)
+        good = ids.select(F.col("id").alias("page_id"), F.format_string("http://fine%d.io/a/%d", F.col("id") % 50, "id").alias("url"))
+        labels = ids.selectExpr("id AS doc_id", "CAST(id % 5 > 0 AS INT) AS quality", "0 AS toxic").unionByName(
+            spark.range(10).selectExpr("id AS doc_id", "CAST(NULL AS INT) AS quality", "1 AS toxic"))
+        got = url_filter.judge(bad.unionByName(good), labels).collect()
+        assert {r.verdict for r in got if r.host == "worse.biz"} == {"block"}
+
+
+def test_url_rules_are_those_of_all_token_sets(spark):
+    rng, rows = np.random.default_rng(11), []
+    for _ in range(600):
+        has = [t for t, p in zip("abcdef", (0.5, 0.4, 0.3, 0.3, 0.2, 1)) if rng.random() < p]
+        has += ["a2"] * ("a" in has) + ["b2"] * ("b" in has and rng.random() < 0.9)
+        rows.append((has, bool(rng.random() < 0.1 + 0.5 * ("a" in has and "c" in has) + 0.4 * ("d" in has and "e" in has))))
+    share, sets = sum(b for _, b in rows) / len(rows), {}
+    for has, b in rows:
+        for k in range(1, len(has) + 1):
+            for s in itertools.combinations(sorted(has), k):
+                n = sets.setdefault(s, [0, 0])
+                n[0] += 1
+                n[1] += b
+    sure = {}
+    for s, (n, b) in sets.items():
+        c = b / n
+        if b >= 10 and c >= 0.5 and c > share:
+            other = (1 - c) * np.log((1 - c) / (1 - share)) if c < 1 else 0
+            if np.exp(-n * (c * np.log(c / share) + other)) <= url_filter.CHANCE:
+                sure[s] = c
+    want = {s: c for s, c in sure.items() if not any(sure.get(s[:i] + s[i + 1:], 0) >= c for i in range(len(s)))}
+    got = {tuple(r.tokens): r.confidence for r in url_filter.mine_rules(
+        spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()}
+    assert len(want) > 3 and max(map(len, want)) > 2 and got == pytest.approx(want)
+
+
+def test_many_tokens_of_the_same_pages_are_one_set(spark):
+    """Thirty tokens that always come together are thirty rules, not their two to the thirtieth combinations."""
+    rows = [([f"t{i:02}" for i in range(30)] + [f"u{k % 2}"], k % 10 > 0) for k in range(20)] + [(["v"], False)] * 60
+    got = url_filter.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()
+    assert {tuple(r.tokens) for r in got} >= {(f"t{i:02}",) for i in range(30)} and len(got) < 100
