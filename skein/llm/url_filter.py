@@ -58,13 +58,14 @@ def fixed_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]
 
 
 def url_tokens(url: Column, host: Column, path: Column) -> Column:
-    """Distinct tokens: every suffix of the host, the first two path segments without digits, the
-    file extension, the keys of the query, and whether there is a fragment."""
+    """Distinct tokens: every suffix of the host, every path segment (with ``#`` for a run of
+    digits), the file extension, the keys of the query, and whether there is a fragment."""
     labels = F.filter(F.split(host, r"\."), lambda s: s != "")
     suffixes = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels), F.lit(1))),
                            lambda i: F.concat(F.lit("host:"), F.array_join(
                                F.slice(labels, i, F.greatest(F.size(labels), F.lit(1))), ".")))
-    segments = F.slice(F.filter(F.split(path, "/"), lambda s: (s != "") & ~s.rlike("[0-9]")), 1, 2)
+    segments = F.transform(F.filter(F.split(path, "/"), lambda s: s != ""),
+                           lambda s: F.regexp_replace(s, "[0-9]+", "#"))
     extension = F.regexp_extract(path, r"\.([A-Za-z]{1,8})$", 1)
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^[^#?]*\?([^#]*)", 1)
     keys = F.filter(F.transform(F.split(query, "&"), lambda p: F.split(p, "=")[0]), lambda k: k != "")

@@ -408,3 +408,15 @@ def test_many_tokens_of_the_same_pages_are_one_set(spark):
     rows = [([f"t{i:02}" for i in range(30)] + [f"u{k % 2}"], k % 10 > 0) for k in range(20)] + [(["v"], False)] * 60
     got = url_filter.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()
     assert {tuple(r.tokens) for r in got} >= {(f"t{i:02}",) for i in range(30)} and len(got) < 100
+
+
+def test_every_path_segment_is_a_url_token(spark):
+    """A bad section is found at any depth, and where its name holds digits."""
+    bad = ["http://h{}.io/en/shop/casino/{}", "http://h{}.io/top10-pills/{}", "http://h{}.io/a/b/c/d/x1y22/{}.html"]
+    rows = [(12 * k + i, u.format(i % 3, 12 * k + i)) for k, u in enumerate(bad) for i in range(12)]
+    rows += [(100 + i, f"http://h{i % 3}.io/en/shop/a/b/c/d/toys/{100 + i}") for i in range(60)]
+    rows += [(200 + k, u.format("new", "none")) for k, u in enumerate(bad)] + [(210, "http://hnew.io/en/shop/toys/none")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i >= 36), 0) for i in range(160)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages, labels).collect()}
+    assert [i for i, v in sorted(got.items()) if v == "block"] == [*range(36), 200, 201, 202]
