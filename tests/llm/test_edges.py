@@ -420,3 +420,16 @@ def test_every_path_segment_is_a_url_token(spark):
     labels = spark.createDataFrame([(i, int(i >= 36), 0) for i in range(160)], "doc_id long, quality int, toxic int")
     got = {r.page_id: r.verdict for r in url_filter.judge(pages, labels).collect()}
     assert [i for i, v in sorted(got.items()) if v == "block"] == [*range(36), 200, 201, 202]
+
+
+def test_short_texts_have_a_fingerprint(spark):
+    """Of three words the middle one may have the smallest hash, so that no syncmer is chosen."""
+    from pyspark.sql import functions as F
+    rows = [(i, f"a{i} b{i} c{i}") for i in range(300)] + [(300, "x" * 40), (301, " ")]
+    rows += [(400 + i, " ".join(f"{w}{i}" for w in "abcdefg")) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for k, s in ((3, 1), (5, 2)):
+        got = {r.doc_id: r.f for r in df.select("doc_id", fingerprints.as_text(fingerprints.sketch(F.col("text"), k, s)).alias("f")).collect()}
+        assert got.pop(301) == "" and all(got.values()) and len(set(got.values())) == len(got)
+    near = fingerprints.compare_with_next(df.where("doc_id < 300")).collect()
+    assert len(near) == 300 and {r.near_next for r in near} == {0.0}
