@@ -433,3 +433,18 @@ def test_short_texts_have_a_fingerprint(spark):
         assert got.pop(301) == "" and all(got.values()) and len(set(got.values())) == len(got)
     near = fingerprints.compare_with_next(df.where("doc_id < 300")).collect()
     assert len(near) == 300 and {r.near_next for r in near} == {0.0}
+
+
+def test_likeness_of_long_texts_is_exact(spark):
+    """One word of twenty thousand is seen, and the likeness is that of the whole sets of anchors."""
+    from pyspark.sql import functions as F
+    words = [f"w{i}" for i in RNG.integers(0, 1 << 40, 20_000)]
+    other = words[:9_000] + ["other"] + words[9_001:]
+    rows = [(3, " ".join(words)), (2, " ".join(other)), (1, " ".join(words[:5_000]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {r.doc_id: {a.hash >> 32 for a in r.a} for r in df.select("doc_id", fingerprints.anchors(F.col("text")).alias("a")).collect()}
+    got = {r.doc_id: r for r in fingerprints.compare_with_next(df).collect()}
+    for d, after in ((3, 2), (2, 1), (1, 3)):
+        assert got[d].near_next == len(sets[d] & sets[after]) / len(sets[d] | sets[after])
+        assert len(got[d].sketch) == fingerprints.SKETCH
+    assert 0.999 < got[3].near_next < 1 and got[2].near_next < 0.3 and 0.4 < got[2].near_edited < 1
