@@ -39,10 +39,10 @@ from skein.session import materialize
 
 SHINGLE_WORDS, THRESHOLD = 5, 0.8
 BAND_ROWS, MISS = 5, 1e-6
-# Odd sketches, coarse and fine: (samples, bits, margin below the threshold that is still judged
-# exactly). The margins are above five standard deviations of the estimates. None: as many samples
-# as the bands have.
-COARSE, FINE = (None, 512, 0.25), (1024, 2048, 0.065)
+# Odd sketches, coarse and fine: (samples, bits). None: as many samples as the bands have. Pairs are
+# judged exactly unless their sketches differ by DEVIATIONS more than those at the threshold do.
+COARSE, FINE = (None, 512), (1024, 2048)
+DEVIATIONS = 6
 BLOCK_MEMBERS = 512  # members of a bucket that one task compares with as many others
 
 
@@ -50,10 +50,20 @@ def bands_for(threshold: float, rows: int = BAND_ROWS, miss: float = MISS) -> in
     return math.ceil(math.log(miss) / math.log(1 - threshold ** rows))
 
 
-def sketch_cut(threshold: float, samples: int, bits: int, margin: float) -> int:
-    """Largest XOR population count kept: the one expected ``margin`` below the threshold."""
-    differ = 2 * samples * (1 - max(0.0, threshold - margin))
-    return math.ceil(bits / 2 * (1 - math.exp(-2 * differ / bits)))
+def sketch_spread(similarity: float, samples: int, bits: int) -> tuple[float, float]:
+    """Mean and standard deviation of the XOR population count of two sets' odd sketches: a sample
+    differs with 1 - similarity, and each that does flips a random bit of either sketch."""
+    def parity(flipped: int) -> float:  # expected product of the signs of so many bits
+        return (similarity + (1 - similarity) * (1 - 2 * flipped / bits) ** 2) ** samples
+
+    one, two = parity(1), parity(2)
+    return bits / 2 * (1 - one), math.sqrt(max(0.0, bits + bits * (bits - 1) * two - (bits * one) ** 2)) / 2
+
+
+def sketch_cut(threshold: float, samples: int, bits: int) -> int:
+    """Largest XOR population count kept: DEVIATIONS above what is expected at the threshold."""
+    mean, deviation = sketch_spread(threshold, samples, bits)
+    return math.ceil(mean + DEVIATIONS * deviation)
 
 
 class MinHash:
@@ -154,12 +164,12 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS,
 
 
 def _may_link(n_a: Column, s_a: Column, n_b: Column, s_b: Column, threshold: float, samples: int,
-              bits: int, margin: float) -> Column:
-    """Sizes within the threshold of each other, and the sketches' XOR within the margin."""
+              bits: int) -> Column:
+    """Sizes within the threshold of each other, and the sketches' XOR within the cut."""
     differ = sum((F.bit_count(F.get(s_a, F.lit(i)).bitwiseXOR(F.get(s_b, F.lit(i))))
                   for i in range(bits // 64)), F.lit(0))
     return ((F.least(n_a, n_b) >= F.greatest(n_a, n_b) * threshold)
-            & (differ <= sketch_cut(threshold, samples, bits, margin)))
+            & (differ <= sketch_cut(threshold, samples, bits)))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:

@@ -448,3 +448,12 @@ def test_likeness_of_long_texts_is_exact(spark):
         assert got[d].near_next == len(sets[d] & sets[after]) / len(sets[d] | sets[after])
         assert len(got[d].sketch) == fingerprints.SKETCH
     assert 0.999 < got[3].near_next < 1 and got[2].near_next < 0.3 and 0.4 < got[2].near_edited < 1
+
+
+@pytest.mark.parametrize("same", [0.6, 0.8, 0.85, 0.95])
+def test_sketch_cut_keeps_six_deviations_at_every_threshold(same):
+    for samples, bits in ((near_dup.bands_for(same) * near_dup.BAND_ROWS, near_dup.COARSE[1]), near_dup.FINE[:2]):
+        differ = RNG.binomial(samples, 1 - same, 4000)
+        counts = np.array([(np.bincount(RNG.integers(0, bits, 2 * n), minlength=bits) & 1).sum() for n in differ])
+        cut = near_dup.sketch_cut(same, samples, bits)
+        assert cut >= counts.mean() + 5.7 * counts.std() and cut <= counts.mean() + 6.4 * counts.std() + 1
