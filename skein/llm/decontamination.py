@@ -125,6 +125,14 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **params) -> DataFrame:
-    """``docs`` without the documents that :func:`leaks` reports; rows with a null doc_id stay."""
+    """``docs`` without the documents that :func:`leaks` reports; rows with a null doc_id go by their
+    texts."""
+    doc_id, of_text = F.col("doc_id").cast("long"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     flagged = leaks(docs, items, **params).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(flagged, F.col("doc_id").cast("long") == F.col("__leak"), "left_anti")
+    kept = docs.join(flagged, doc_id == F.col("__leak"), "left_anti")
+    nulls = docs.where(doc_id.isNull())
+    if nulls.limit(1).count():
+        theirs = leaks(nulls.select(of_text.alias("doc_id"), "text"), items, **params)
+        kept = kept.join(theirs.select(F.col("doc_id").alias("__leak")).distinct(),
+                         doc_id.isNull() & (of_text == F.col("__leak")), "left_anti")
+    return kept

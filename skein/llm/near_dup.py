@@ -112,26 +112,32 @@ class Signer:
         return (*set_class(shingles), keys.view(np.int64), self.hashes.odd(low))
 
 
+def text_key(text: Column) -> Column:
+    """What tells the texts of rows without a doc_id apart."""
+    return F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
+
+
 def signatures(docs: DataFrame, bands: int, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(uid, doc_id, n_shingles, c1, c2, bands, sketch) for every row; written once, so that ``uid``
-    stays the same."""
+    """(uid, doc_id, text_key, n_shingles, c1, c2, bands, sketch) for every row; written once, so that
+    ``uid`` stays the same. ``text_key`` is null where doc_id is not."""
     def sign(batches):
         known, signer, uid = WordHashes(), Signer(bands), TaskContext.get().partitionId() << 40
         for batch in batches:
-            out = {k: [] for k in ("uid", "doc_id", "n_shingles", "c1", "c2", "bands", "sketch")}
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(),
-                                    batch.column("text").cast(pa.binary()).to_pylist()):
+            out = {k: [] for k in ("uid", "doc_id", "text_key", "n_shingles", "c1", "c2", "bands", "sketch")}
+            for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(),
+                                         batch.column("text").cast(pa.binary()).to_pylist()):
                 found = shingle_hashes(known.of(text.lower().split()), size)
                 signed = signer.sign(found) if len(found) else (None,) * 4
-                for name, v in zip(out, (uid, doc_id, len(found), *signed)):
+                for name, v in zip(out, (uid, doc_id, key, len(found), *signed)):
                     out[name].append(v)
                 uid += 1
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
-                ("uid", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("c1", pa.int64()),
-                ("c2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]))
+                ("uid", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.string()), ("n_shingles", pa.int64()),
+                ("c1", pa.int64()), ("c2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]))
 
-    return materialize(id_and_text(docs).mapInArrow(
-        sign, "uid long, doc_id long, n_shingles long, c1 long, c2 long, bands array<long>, sketch array<long>"), "sign")
+    rows = id_and_text(docs).withColumn("text_key", F.when(F.col("doc_id").isNull(), text_key(F.col("text"))))
+    return materialize(rows.mapInArrow(
+        sign, "uid long, doc_id long, text_key string, n_shingles long, c1 long, c2 long, bands array<long>, sketch array<long>"), "sign")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS,
@@ -186,7 +192,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(uid, doc_id, n_shingles, component_id, kept, first) for every row of ``docs``.
+    """(uid, doc_id, text_key, n_shingles, component_id, kept, first) for every row of ``docs``.
 
     ``component_id`` is the smallest doc_id reachable over links; ``kept`` marks the document of
     that id and ``first`` one row of each component (the two differ where a doc_id is repeated)."""
@@ -194,9 +200,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     signed = signatures(docs, bands, size)
     classes = signed.where(F.col("n_shingles") > 0).groupBy("c1", "c2").agg(F.min("uid").alias("rep"))
     # one row per document with the representative of its class; rows without a set stand alone
-    member = materialize(signed.select("uid", "doc_id", "n_shingles", "c1", "c2")
+    member = materialize(signed.select("uid", "doc_id", "text_key", "n_shingles", "c1", "c2")
                          .join(classes, ["c1", "c2"], "left")
-                         .select("uid", "doc_id", "n_shingles", F.coalesce("rep", "uid").alias("rep")), "member")
+                         .select("uid", "doc_id", "text_key", "n_shingles", F.coalesce("rep", "uid").alias("rep")), "member")
     reps = signed.join(classes.select(F.col("rep").alias("uid")), "uid", "left_semi")
     reps = materialize(reps, "reps")
     known = reps.select("uid", "n_shingles", "sketch")
@@ -274,22 +280,26 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     least = of_row.groupBy("component").agg(F.min("doc_id").alias("component_id"),
                                             F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid"))["uid"].alias("one"))
     return (of_row.join(least, "component")
-            .select("uid", "doc_id", "n_shingles", "component_id",
+            .select("uid", "doc_id", "text_key", "n_shingles", "component_id",
                     F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
                     (F.col("uid") == F.col("one")).alias("first")))
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE_WORDS) -> DataFrame:
-    """``docs`` with one document of each component: that of the smallest doc_id. Of rows that
-    repeat its doc_id one stays; rows with a null doc_id stay unless linked to a known one."""
+    """``docs`` with one document of each component: that of the smallest doc_id, or one row where no
+    id is known. Of rows that repeat a doc_id one stays; rows with a null doc_id are told apart by
+    their texts, and those without words all stay."""
     found = materialize(near_duplicates(docs, threshold, size), "near")
+    doc_id = F.col("doc_id").cast("long")
     gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__gone")).distinct()
-    # a null doc_id can't be told from others: such rows go only when all of them are linked to known ones
-    nulls = found.where(F.col("doc_id").isNull()).agg(F.max("first").alias("stays")).first().stays
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
-    if nulls is False:
-        kept = kept.where(F.col("doc_id").isNotNull())
+    kept = docs.where(doc_id.isNotNull()).join(gone, doc_id == F.col("__gone"), "left_anti")
     if found.where(F.col("kept") & ~F.col("first") & F.col("doc_id").isNotNull()).limit(1).count():
-        named = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-        kept = named.unionByName(kept.where(F.col("doc_id").isNull()))
+        kept = kept.dropDuplicates(["doc_id"])
+    stay = (found.where(F.col("doc_id").isNull() & F.col("first")).groupBy(F.col("text_key").alias("__stays"))
+            .agg(F.max(F.col("n_shingles") > 0).alias("__once")))
+    if stay.limit(1).count():
+        nulls = docs.where(doc_id.isNull()).withColumn("__key", text_key(F.col("text"))).join(
+            stay, F.col("__key") == F.col("__stays"))
+        one = nulls.where("__once").dropDuplicates(["__key"]).unionByName(nulls.where("NOT __once"))
+        kept = kept.unionByName(one.select(*docs.columns))
     return kept

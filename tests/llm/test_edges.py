@@ -457,3 +457,16 @@ def test_sketch_cut_keeps_six_deviations_at_every_threshold(same):
         counts = np.array([(np.bincount(RNG.integers(0, bits, 2 * n), minlength=bits) & 1).sum() for n in differ])
         cut = near_dup.sketch_cut(same, samples, bits)
         assert cut >= counts.mean() + 5.7 * counts.std() and cut <= counts.mean() + 6.4 * counts.std() + 1
+
+
+def test_rows_without_an_id_are_judged_one_by_one(spark):
+    rows = [(1, A), (None, A), (None, prose(60, 70)), (None, prose(60, 70)), (None, prose(60, 70) + " end"),
+            (None, prose(60, 71)), (None, None), (None, ""), (2, B)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = near_dup.drop_near_duplicates(df, 0.8)
+    texts = [r.text for r in kept.collect() if r.doc_id is None]
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.where("doc_id > 0").collect()) == [1, 2]
+    assert len(texts) == 4 and {None, "", prose(60, 71)} < set(texts)
+    items = spark.createDataFrame([(1, " ".join(prose(60, 71).split()[5:50])), (2, B)], "item_id long, text string")
+    clean = [(r.doc_id, r.text) for r in decontamination.decontaminate(df, items).collect()]
+    assert sorted(clean, key=repr) == sorted((r for r in rows if r[1] not in (prose(60, 71), B)), key=repr)
