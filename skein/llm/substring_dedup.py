@@ -7,9 +7,11 @@ the input.
 
 A task first settles the windows of its own rows: of equal ones only the smallest document's goes
 on, so a passage that a third of all documents share reaches its bucket once per task, not once per
-document. What moves is 7 bytes a window, packed by bucket: together with the bucket number, as
-many bits of the hash as the input needs. Whole texts move once, compressed, to meet the windows
-found repeated in them.
+document. What moves is 7 bytes a window, packed by bucket. They and the bucket number come from one
+64-bit hash, so together they hold at most 64 bits of it however many buckets there are, and equal
+ones are taken as equal windows without comparing words: by calculation about one false match among
+5 billion windows, growing with the square of their number. Whole texts move once, compressed, to
+meet the windows found repeated in them.
 
 Defined results: null and empty texts have no words; a text of fewer words than a window loses
 none; rows that repeat a doc_id never remove each other's words and have the same windows removed;
