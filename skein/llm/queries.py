@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import (decontamination, fingerprints, near_dup, packing, pii, quality, sharding,
-                       substring_dedup, token_output, url_filter)
+from skein.llm import (decontamination, exact_dedup, filter_audit, fingerprints, lexical_search, near_dup, oracles,
+                       packing, pii, quality, sharding, substring_dedup, token_output, url_filter)
 from skein.llm.common import id_and_text, table
 from skein.session import ensure_checkpoint_dir
 
@@ -72,7 +72,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_token_output, op3_packing, op4_url_filter, op5_pii, op6_fingerprints,
-    op7_near_dup, op8_sharding, op9_substring_dedup, op10_quality)}
-ORACLES: dict[str, str] = {}
+    op7_near_dup, op8_sharding, op9_substring_dedup, op10_quality, op11_lexical_search, op12_filter_audit,
+    op13_exact_dedup)}
+ORACLES: dict[str, str] = {
+    "op11_lexical_search": oracles.LEXICAL_SEARCH,
+    "op12_filter_audit": oracles.FILTER_AUDIT,
+    "op13_exact_dedup": oracles.EXACT_DEDUP,
+}
