@@ -1,17 +1,19 @@
 """Operator 11: ranked lexical search by hashed max-sketches and exact rescoring.
 
 1. :func:`build_index` makes every document one row: its number of terms, its distinct terms with
-   their counts, and a sketch. Every term hashes to one of ``width`` coordinates and a coordinate
-   holds the largest impact that falls on it. A term's impact grows with its count and with nothing
-   else that differs inside a document, so the sketch stores the largest count and the index does
-   not depend on corpus statistics: it can be extended or searched again without a rebuild.
+   their counts, and a sketch. Every term hashes to a coordinate, of which a sketch has ``room`` for
+   each distinct term, and a coordinate holds the largest impact that falls on it. A term's impact
+   grows with its count and with nothing else that differs inside a document, so the sketch stores
+   the largest count and the index does not depend on corpus statistics: it can be extended or
+   searched again without a rebuild.
 2. :func:`search` takes queries in blocks of a bounded number of terms. For a batch of documents
    the sketches become impacts, and one matrix product with the block's term weights bounds the
    score of every document for every query from above (a coordinate is at least the impact of each
    term on it).
 3. Documents are rescored exactly, from their own terms and counts, in descending order of bound.
-   A query stops at the first bound below its k-th best exact score; at an equal bound it goes on,
-   so ties are settled by doc_id. Each task hands on at most k rows a query, which are ranked.
+   A query stops at the first bound below its k-th best exact score (seen after every RESCORE
+   documents); at an equal bound it goes on, so ties are settled by doc_id. Each task hands on at
+   most k rows a query, which are ranked.
 
 Scores are whole numbers: see :func:`weight`, :func:`length_norm` and :func:`impact`.
 
@@ -25,12 +27,12 @@ score; empty tables give no rows; other columns are ignored.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -38,12 +40,12 @@ from skein.llm.common import id_and_text
 from skein.session import materialize, release
 
 TOP_K = 10
-WIDTH = 1024  # coordinates of a sketch
-MOST = 0xFFFF  # counts from here on are bounded by the largest impact there is
-BLOCK_TERMS, BLOCK_QUERIES = 100_000, 512  # of a block of queries; a longer query is a block alone
-BATCH_DOCS = 512
+ROOM, LEAST_WIDTH, MOST_WIDTH = 8, 256, 65_536  # coordinates for each distinct term, rounded to a power of two
+MOST = 0xFF  # counts from here on are bounded by the largest impact there is
+BLOCK_TERMS, BLOCK_QUERIES = 8192, 256  # of a block of queries; a longer query is a block alone
+BATCH_DOCS, BATCH_CELLS = 512, 4_000_000  # documents at a time, and their places for a block's terms
+RESCORE = 32
 UNIT = 1_000_000  # no impact reaches more
-TERM_CACHE = 200_000
 
 # Everything but digits, letters and what lies beyond ASCII separates terms; A-Z are lower-cased.
 _TERM_BYTES = bytes(
@@ -68,29 +70,23 @@ def impact(tf, m):
     return (1_000_000_000 * tf) // (1000 * tf + 8 * m)
 
 
-class Coordinates(dict):
-    """term -> its coordinate, remembered for the terms met last."""
+def coordinates(found: Iterable[bytes], n: int) -> np.ndarray:
+    """A 32-bit hash of each of ``n`` terms; its coordinate is the rest by a sketch's width."""
+    return np.fromiter(map(zlib.crc32, found), dtype=np.int64, count=n)
 
-    def __init__(self, width: int):
-        super().__init__()
-        self.width = width
 
-    def __missing__(self, term: bytes) -> int:
-        at = xxhash.xxh3_64_intdigest(term) % self.width
-        if len(self) < TERM_CACHE:
-            self[term] = at
-        return at
+def width_for(distinct: int, room: int) -> int:
+    return min(max(1 << (distinct * room - 1).bit_length(), LEAST_WIDTH), MOST_WIDTH)
 
 
 _INDEX = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("terms", pa.binary()),
                     ("counts", pa.binary()), ("sketch", pa.binary())])
 
 
-def build_index(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def build_index(docs: DataFrame, room: int = ROOM) -> DataFrame:
     """(doc_id, n, terms, counts, sketch) of every document with a term, written once. ``terms`` are
-    the distinct ones joined by a space, ``counts`` unsigned 32-bit, ``sketch`` unsigned 16-bit."""
+    the distinct ones joined by a space, ``counts`` unsigned 32-bit, ``sketch`` a byte a coordinate."""
     def index(batches):
-        place = Coordinates(width)
         for batch in batches:
             out = {name: [] for name in _INDEX.names}
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -99,9 +95,8 @@ def build_index(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                     continue
                 found = Counter(all_terms)
                 counts = np.fromiter(found.values(), dtype="<u4", count=len(found))
-                at = np.fromiter(map(place.__getitem__, found), dtype=np.int64, count=len(found))
-                sketch = np.zeros(width, dtype="<u2")
-                np.maximum.at(sketch, at, np.minimum(counts, MOST).astype("<u2"))
+                sketch = np.zeros(width_for(len(found), room), dtype=np.uint8)
+                np.maximum.at(sketch, coordinates(found, len(found)) % len(sketch), np.minimum(counts, MOST).astype(np.uint8))
                 for name, v in zip(out, (doc_id, len(all_terms), b" ".join(found), counts.tobytes(), sketch.tobytes())):
                     out[name].append(v)
             yield pa.RecordBatch.from_pydict(out, schema=_INDEX)
@@ -171,65 +166,115 @@ class Best:
             self.bar = -self.rows[-1][0]
 
 
-def _search_block(index: DataFrame, block: list[Row], n_docs: int, n_terms: int, k: int, width: int) -> DataFrame:
+class Block:
+    """A block of queries with the weights of their terms; made once on the driver, used in tasks."""
+
+    def __init__(self, block: list[Row], df: dict[bytes, int], n_docs: int):
+        self.numbers = [row.query for row in block]
+        self.place = {t: i for i, t in enumerate(sorted(df))}  # the block's terms that some document has
+        of = [[t for t in map(bytes, row.terms) if t in df] for row in block]
+        self.own = [np.array([self.place[t] for t in found], dtype=np.int64) for found in of]
+        self.weights = [np.array([weight(n_docs, df[t]) for t in found], dtype=np.float64) for found in of]
+        self.hashes = coordinates(self.place, len(self.place))
+        self.vocabulary = frozenset(self.place)
+
+    def lookup(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """The coordinates of a sketch of ``width`` that are looked up, and each query's weight on them."""
+        used, row = np.unique(self.hashes % width, return_inverse=True)
+        table = np.zeros((len(used), len(self.numbers)), dtype=np.float32)
+        for q, (own, weights) in enumerate(zip(self.own, self.weights)):
+            np.add.at(table[:, q], row[own], weights.astype(np.float32))
+        return used, table
+
+
+class Searcher:
+    """The best documents of a block's queries among those of a task."""
+
+    def __init__(self, block: Block, n_docs: int, n_terms: int, k: int):
+        self.block, self.n_docs, self.n_terms = block, n_docs, n_terms
+        self.kept = [Best(k) for _ in block.numbers]
+        self.bars = np.ones(len(self.kept))
+        self.lookups: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.rescored = 0
+
+    def bounds(self, sketches: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """No score of a document (row) for a query (column) is above its bound."""
+        width = sketches.shape[1]
+        if width not in self.lookups:
+            self.lookups[width] = self.block.lookup(width)
+        used, table = self.lookups[width]
+        tf = sketches[:, used].astype(np.int64)
+        top = np.where(tf >= MOST, UNIT, impact(tf, m[:, None])).astype(np.float32)
+        return (top @ table) * np.float32(1.001)  # sums of floats lose less than this share
+
+    def take(self, ids: list, n: np.ndarray, held: list[bytes], counts: list[bytes], sketches: np.ndarray) -> None:
+        m = length_norm(n, self.n_docs, self.n_terms)
+        bounds = self.bounds(sketches, m)
+        exact = np.zeros((len(ids), len(self.block.place)))  # impacts of the terms of opened documents
+        opened = np.zeros(len(ids), dtype=bool)
+
+        def open_up(d: int) -> None:
+            opened[d] = True
+            known = held[d].split(b" ")
+            hits = self.block.vocabulary.intersection(known)
+            if hits:
+                tf = dict(zip(known, np.frombuffer(counts[d], dtype="<u4").tolist()))
+                exact[d, [self.block.place[t] for t in hits]] = [impact(tf[t], int(m[d])) for t in hits]
+
+        for q in np.flatnonzero((bounds >= self.bars).any(axis=0)):
+            mine, own, weights = self.kept[q], self.block.own[q], self.block.weights[q]
+            chosen = np.flatnonzero(bounds[:, q] >= mine.bar)
+            chosen = chosen[np.argsort(-bounds[chosen, q], kind="stable")]
+            for i in range(0, len(chosen), RESCORE):
+                part = chosen[i:i + RESCORE]
+                if bounds[part[0], q] < mine.bar:
+                    break
+                for d in part[~opened[part]]:
+                    open_up(int(d))
+                # whole numbers below 2**53, so sums of doubles are exact
+                scores = exact[np.ix_(part, own)] @ weights
+                self.rescored += len(part)
+                for j in np.flatnonzero(scores >= mine.bar):
+                    if scores[j] >= mine.bar:
+                        mine.add(int(scores[j]), ids[part[j]])
+            self.bars[q] = mine.bar
+
+
+def _search_block(index: DataFrame, block: list[Row], n_docs: int, n_terms: int, k: int) -> DataFrame:
     """(query, doc_id, score): at most k rows of each task and query of the block."""
     df = document_frequencies(index, frozenset(bytes(t) for row in block for t in row.terms))
-    place = Coordinates(width)
-    weighted = [{t: weight(n_docs, df[t]) for t in map(bytes, row.terms) if t in df} for row in block]
-    lookup = np.zeros((width, len(block)), dtype=np.float32)
-    for q, found in enumerate(weighted):
-        for t, w in found.items():
-            lookup[place[t], q] += w
-    used = np.flatnonzero(lookup.any(axis=1))  # coordinates that some query looks up
-    shared = index.sparkSession.sparkContext.broadcast(([row.query for row in block], weighted, used, lookup[used]))
+    shared = index.sparkSession.sparkContext.broadcast(Block(block, df, n_docs))
 
     def best(batches):
-        numbers, weighted, used, lookup = shared.value
-        kept = [Best(k) for _ in numbers]
-        bars = np.ones(len(numbers))
+        searcher = Searcher(shared.value, n_docs, n_terms, k)
+        at_a_time = max(1, min(BATCH_DOCS, BATCH_CELLS // max(1, len(searcher.block.place))))
         for batch in batches:
-            for start in range(0, batch.num_rows, BATCH_DOCS):
-                part = batch.slice(start, BATCH_DOCS)
-                ids, n = part.column("doc_id").to_pylist(), part.column("n").to_numpy()
-                m = length_norm(n, n_docs, n_terms)
-                held, counts = part.column("terms"), part.column("counts")
-                tf = np.stack([np.frombuffer(s.as_py(), dtype="<u2") for s in part.column("sketch")])[:, used].astype(np.int64)
-                top = np.where(tf >= MOST, UNIT, impact(tf, m[:, None])).astype(np.float32)
-                # sums of floats lose less than this share, so the bounds stay bounds
-                bounds = (top @ lookup) * np.float32(1.001)
-                opened: dict[int, dict[bytes, int]] = {}
-                for q in np.flatnonzero((bounds >= bars).any(axis=0)):
-                    mine, own = kept[q], weighted[q]
-                    chosen = np.flatnonzero(bounds[:, q] >= bars[q])
-                    for d in chosen[np.argsort(-bounds[chosen, q], kind="stable")]:
-                        if bounds[d, q] < mine.bar:
-                            break
-                        if (found := opened.get(d)) is None:
-                            found = opened[d] = dict(zip(
-                                held[int(d)].as_py().split(b" "), np.frombuffer(counts[int(d)].as_py(), dtype="<u4").tolist()))
-                        md = int(m[d])
-                        score = sum(own[t] * impact(found[t], md) for t in own.keys() & found.keys())
-                        if score >= mine.bar:
-                            mine.add(score, ids[d])
-                    bars[q] = mine.bar
+            ids, n = batch.column("doc_id").to_pylist(), batch.column("n").to_numpy()
+            held, counts, sketches = (batch.column(c).to_pylist() for c in ("terms", "counts", "sketch"))
+            widths = np.array([len(s) for s in sketches])
+            for width in np.unique(widths):
+                same = np.flatnonzero(widths == width)
+                step = max(1, min(at_a_time, (16 << 20) // int(width)))
+                for i in range(0, len(same), step):
+                    rows = same[i:i + step].tolist()
+                    searcher.take([ids[r] for r in rows], n[rows], [held[r] for r in rows], [counts[r] for r in rows],
+                                  np.stack([np.frombuffer(sketches[r], dtype=np.uint8) for r in rows]))
         rows = [(number, None if null else doc_id, -score)
-                for number, mine in zip(numbers, kept) for score, null, doc_id in sorted(mine.rows)[:k]]
+                for number, mine in zip(searcher.block.numbers, searcher.kept) for score, null, doc_id in sorted(mine.rows)[:k]]
         yield pa.RecordBatch.from_pydict({name: pa.array([r[i] for r in rows], pa.int64())
                                           for i, name in enumerate(("query", "doc_id", "score"))})
 
     return index.mapInArrow(best, "query long, doc_id long, score long")
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = TOP_K, width: int = WIDTH,
-           block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """(item_id, rank, doc_id, score) of the k best documents of every row of ``queries(item_id,
-    text)``; ``width`` is that of the index."""
+def search(index: DataFrame, queries: DataFrame, k: int = TOP_K, block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """(item_id, rank, doc_id, score) of the k best documents of every row of ``queries(item_id, text)``."""
     rows = query_rows(queries)
     total = index.agg(F.count("*").alias("docs"), F.sum("n").alias("terms")).first()
     found = None
     if total.docs:
         for block in blocks(rows, block_terms):
-            part = materialize(_search_block(index, block, total.docs, total.terms, k, width), "search-block")
+            part = materialize(_search_block(index, block, total.docs, total.terms, k), "search-block")
             found = part if found is None else found.unionByName(part)
     if found is None:
         return rows.sparkSession.createDataFrame([], "item_id long, rank int, doc_id long, score long")
@@ -238,9 +283,9 @@ def search(index: DataFrame, queries: DataFrame, k: int = TOP_K, width: int = WI
     return ranked.join(rows.select("query", "item_id"), "query").select("item_id", "rank", "doc_id", "score")
 
 
-def search_documents(docs: DataFrame, queries: DataFrame, k: int = TOP_K, width: int = WIDTH) -> DataFrame:
+def search_documents(docs: DataFrame, queries: DataFrame, k: int = TOP_K) -> DataFrame:
     """:func:`search` over an index made for this one call and deleted after it."""
-    index = build_index(docs, width)
-    found = materialize(search(index, queries, k, width), "search")
+    index = build_index(docs)
+    found = materialize(search(index, queries, k), "search")
     release(index)
     return found
