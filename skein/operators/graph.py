@@ -11,12 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.operators.relational import HOT_SHARE, arg_top, hot_keys, skew_join
-from skein.session import ensure_checkpoint_dir, materialize, release
+from skein.session import default_parallelism, ensure_checkpoint_dir, materialize, release
 
 
 @dataclass(frozen=True)
@@ -193,64 +192,42 @@ def simple_paths(g: Graph, source, target, max_edges: int = 4,
     target the result is the one-vertex path of weight 0; with vertex sets a path needs
     at least one edge and may pass through other target vertices.
 
-    The search is at most ``max_edges`` frontier joins, each level written once to the
-    checkpoint folder. A backward breadth-first pass first labels every vertex with its
-    hop distance to the nearest target, and a frontier row survives only if a target is
-    still reachable in the hops left.
+    Paths meet in the middle: half paths grow forward from the sources and backward from the
+    targets, each at most half of ``max_edges`` long and written once per length. A path of n
+    edges is the one pair of halves of ceil(n / 2) and floor(n / 2) edges that end at the same vertex
+    and share no other, so no path is made twice and levels hold the square root of what a
+    one-sided search would hold.
     """
     ensure_checkpoint_dir(g.edges.sparkSession)
     sets = isinstance(source, Column) or isinstance(target, Column)
-    edges = _simple_edges(g, weight).persist(StorageLevel.MEMORY_AND_DISK)
-    start = _endpoint_ids(g, source)
-    targets = _endpoint_ids(g, target)
+    start, targets = _endpoint_ids(g, source), _endpoint_ids(g, target)
     if not sets and source == target:
         return start.select(F.array("v").alias("path"), F.lit(0).alias("n_edges"),
                             F.lit(0.0).alias(weight))
-
-    # backward hop distances to the nearest target, up to max_edges - 1
-    level = targets
-    reach = level.withColumn("hops", F.lit(0))
-    cached = [edges]
-    for k in range(1, max_edges):
-        prev = (edges.join(level.select(F.col("v").alias("dst")), "dst", "left_semi")
-                .select(F.col("src").alias("v")).distinct()
-                .join(reach.select("v"), "v", "left_anti"))
-        prev = prev.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(prev)
-        reach = reach.unionByName(prev.withColumn("hops", F.lit(k)))
-        level = prev
-    reach = reach.persist(StorageLevel.MEMORY_AND_DISK)
-    cached.append(reach)
-
-    frontier = start.select(F.array("v").alias("path"), F.col("v").alias("last"),
-                            F.lit(0.0).alias("__d"))
-    found = []
-    for k in range(1, max_edges + 1):
-        # one level = frontier x out-edges, kept only if a target is still reachable in
-        # the hops left
-        left = max_edges - k
-        alive = reach.where(F.col("hops") <= left).select(F.col("v").alias("dst"))
-        step = (frontier.join(edges, frontier["last"] == edges["src"])
-                .join(alive, "dst", "left_semi")
-                .where(~F.array_contains("path", F.col("dst")))
-                .select(F.array_append("path", F.col("dst")).alias("path"),
-                        F.col("dst").alias("last"),
-                        (F.col("__d") + F.col("__w")).alias("__d")))
-        # materialise the level once: it feeds both the result and the next level
-        step = materialize(step, "paths")
-        if sets:
-            found.append(step.join(targets.select(F.col("v").alias("last")), "last", "left_semi"))
-            frontier = step
-        else:
-            # a simple path cannot come back to a single target: stop there
-            found.append(step.where(F.col("last") == F.lit(target)))
-            frontier = step.where(F.col("last") != F.lit(target))
-    for c in cached:
-        c.unpersist()
-    paths = found[0]
-    for f in found[1:]:
-        paths = paths.unionByName(f)
-    return paths.select("path", (F.size("path") - 1).alias("n_edges"), F.col("__d").alias(weight))
+    edges = materialize(_simple_edges(g, weight), "path-edges")
+
+    def grow(ends: DataFrame, levels: int, at: str, to: str, add, stop) -> list[DataFrame]:
+        """Half paths of 0 to ``levels`` edges; a single end (``stop``) is never passed through."""
+        found = [ends.select(F.array("v").alias("path"), F.col("v").alias("at"), F.lit(0.0).alias("d"))]
+        for _ in range(levels):
+            frontier = found[-1] if sets else found[-1].where(F.col("at") != F.lit(stop))
+            found.append(materialize(
+                frontier.join(edges, frontier["at"] == edges[at])
+                .where(~F.array_contains("path", F.col(to)))
+                .select(add("path", F.col(to)).alias("path"), F.col(to).alias("at"), (F.col("d") + F.col("__w")).alias("d")),
+                "half-paths"))
+        return found
+
+    ahead = grow(start, (max_edges + 1) // 2, "src", "dst", F.array_append, target)
+    behind = grow(targets, max_edges // 2, "dst", "src", F.array_prepend, source)
+    paths = None
+    for n in range(1, max_edges + 1):
+        first, rest = ahead[(n + 1) // 2], behind[n // 2]
+        rest = rest.select(F.col("at"), F.slice("path", 2, max(1, n // 2)).alias("rest"), F.col("d").alias("d_rest"))
+        whole = (first.join(rest, "at").where(~F.arrays_overlap("path", "rest"))
+                 .select(F.concat("path", "rest").alias("path"), (F.col("d") + F.col("d_rest")).alias("d")))
+        paths = whole if paths is None else paths.unionByName(whole)
+    return paths.select("path", (F.size("path") - 1).alias("n_edges"), F.col("d").alias(weight))
 
 
 def shortest_path(g: Graph, source, target, max_edges: int = 4,
@@ -277,50 +254,73 @@ def _canonical(df: DataFrame, x: str, y: str) -> DataFrame:
             .select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct())
 
 
-def _is_star_forest(e: DataFrame) -> bool:
-    """True when no vertex is both a centre and a leaf and every leaf has one centre."""
-    roles = (e.select(F.col("a").alias("v"), F.lit(1).alias("as_a"), F.lit(0).alias("as_b"))
-             .unionByName(e.select(F.col("b").alias("v"), F.lit(0).alias("as_a"), F.lit(1).alias("as_b")))
-             .groupBy("v").agg(F.sum("as_a").alias("na"), F.sum("as_b").alias("nb")))
-    bad = roles.where(((F.col("na") > 0) & (F.col("nb") > 0)) | (F.col("nb") > 1))
-    return bad.limit(1).count() == 0
+def _hubs(ends: DataFrame, count: str, total: int) -> DataFrame:
+    """Vertices with more than a partition's share of ``total`` rows; fewer than there are partitions."""
+    share = default_parallelism(ends.sparkSession)
+    return ends.where(F.col(count) * F.lit(share) > F.lit(total)).select("u")
+
+
+def _follow(rows: DataFrame, pointers: DataFrame, col: str, hubs: DataFrame | None) -> DataFrame:
+    """``rows`` with ``col`` replaced by where ``pointers(u, to)`` leads. A hub's rows meet its pointer in
+    the map tasks and are never shuffled."""
+    to = pointers.select(F.col("u").alias(col), F.col("to").alias("__to"))
+    joined = (rows.join(to, col) if hubs is None
+              else skew_join(rows, to, col, hot=hubs.select(F.col("u").alias(col))))
+    return joined.withColumn(col, F.col("__to")).drop("__to")
 
 
 def components(g: Graph, max_rounds: int = 200) -> DataFrame:
     """Weakly connected components: (id, component = smallest vertex id in it).
 
-    Alternating large-star / small-star rounds (Kiveris et al., SoCC 2014) on the
-    undirected edge set: every step is a min-aggregate plus a join, each round is
-    checkpointed, and the loop ends when the edge set is a forest of stars centred on
-    each component's minimum. Vertices without edges are their own component.
+    Rounds of contraction. Every vertex with an edge left points to the smallest vertex of its
+    closed neighbourhood (partial minima in the tasks first, so a hub's neighbourhood is never in
+    one place), and pointers are followed twice. Edges move to where their ends point; those inside
+    a merged vertex are settled and gone, so the edge table shrinks every round, and with no edge left
+    the loop ends: only local minima survive a round, at most half of the vertices. A hub's share of
+    the edges is split: its rows meet the hub's pointer in the map tasks (:func:`_follow`; the
+    broadcast holds fewer vertices than there are partitions). The written pointer tables, from
+    the last to the first, give the labels. Vertices without edges are their own component.
     """
     ensure_checkpoint_dir(g.edges.sparkSession)
     e = materialize(_undirected(g), "cc")
+    levels: list[DataFrame] = []
     for _ in range(max_rounds):
-        # large star: link every larger neighbour of u to the minimum of u's neighbourhood
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        # (the joins below meet one row per key; AQE's skew-join splitting handles a
-        # hub's partition, no extra pass over the edges per round is needed)
-        m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(m, "u").select("v", "m")
-        e1 = _canonical(large, "v", "m")
-        # small star: link u and its smaller neighbours to the minimum of them
-        m2 = e1.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
-        linked = e1.withColumnRenamed("b", "u").join(m2, "u")
-        small = (linked.select(F.col("a").alias("x"), F.col("m").alias("y"))
-                 .unionByName(linked.select(F.col("u").alias("x"), F.col("m").alias("y"))))
-        previous, e = e, materialize(_canonical(small, "x", "y"), "cc")
-        release(previous)
-        if _is_star_forest(e):
+        near = materialize(both.groupBy("u").agg(F.min("v").alias("least"), F.count("*").alias("degree")), "cc-near")
+        ends = near.agg(F.sum("degree").alias("total"), F.max("degree").alias("most"), F.count("*").alias("n")).first()
+        if not ends.total:
+            release(near)
             break
+        partitions = default_parallelism(e.sparkSession)
+        hubs = _hubs(near, "degree", ends.total) if ends.most * partitions > ends.total else None
+        pointers = near.select("u", F.least("u", "least").alias("to"))
+        # vertices that many point to (no more than they have edges)
+        aims = (_hubs(pointers.groupBy(F.col("to").alias("u")).agg(F.count("*").alias("n")), "n", ends.n)
+                if ends.most * partitions > ends.n else None)
+        jumped = materialize(_follow(pointers, pointers, "to", aims), "cc-to")
+        moved = _follow(_follow(e, jumped, "a", hubs), jumped, "b", hubs)
+        previous, e = e, materialize(_canonical(moved, "a", "b"), "cc")
+        release(previous)
+        release(near)
+        levels.append(jumped)
     else:
         raise RuntimeError(f"components did not converge in {max_rounds} rounds")
-    labels = (e.select(F.col("b").alias("id"), F.col("a").alias("component"))
-              .unionByName(e.select(F.col("a").alias("id"), F.col("a").alias("component")))
-              .distinct())
-    return (g.vertices.select("id").distinct().join(labels, "id", "left")
-            .select("id", F.coalesce("component", "id").alias("component")))
+    release(e)
+    labels = None
+    for level in levels[::-1]:
+        if labels is not None:
+            above = labels.select(F.col("u").alias("to"), F.col("to").alias("__root"))
+            upper, level = level, materialize(
+                level.join(above, "to", "left").select("u", F.coalesce("__root", "to").alias("to")), "cc-label")
+            release(upper)
+            release(labels)
+        labels = level
+    vertices = g.vertices.select("id").distinct()
+    if labels is None:
+        return vertices.select("id", F.col("id").alias("component"))
+    return (vertices.join(labels.withColumnRenamed("u", "id"), "id", "left")
+            .select("id", F.coalesce("to", "id").alias("component")))
 
 
 def label_propagation(g: Graph, rounds: int = 5) -> DataFrame:
@@ -330,34 +330,57 @@ def label_propagation(g: Graph, rounds: int = 5) -> DataFrame:
     endpoint to the other one (edges are first made distinct on (src, dst), so parallel
     carriers count once while A->B and B->A count twice); a vertex takes the most
     frequent incoming label, the lowest label on ties, and keeps its label without
-    messages. Counting is a partial aggregate on (vertex, label), so hub vertices do not
-    gather their messages in one task.
+    messages.
+
+    The counts per (vertex, incoming label) are kept as a first table and a log of changes. After
+    the first round only vertices whose label changed send anything: -1 for the label they had and
+    +1 for the new one. Only vertices that receive such a change are counted again, from their own
+    part of the log, so a round's traffic follows the changes and not the edges. Counting is a
+    partial aggregate on (vertex, label): a hub does not gather its messages in one task.
     """
     ensure_checkpoint_dir(g.edges.sparkSession)
     pairs = g.edges.select("src", "dst").distinct()
-    messages = (pairs.select(F.col("src").alias("from"), F.col("dst").alias("to"))
-                .unionByName(pairs.select(F.col("dst").alias("from"), F.col("src").alias("to")))
-                )
-    messages = materialize(messages, "lpa")
-    # hub vertices send to many neighbours: their messages meet a broadcast of their own
-    # labels (at most 1/HOT_SHARE vertices), the rest use a shuffle join
+    messages = materialize(
+        pairs.select(F.col("src").alias("from"), F.col("dst").alias("to"))
+        .unionByName(pairs.select(F.col("dst").alias("from"), F.col("src").alias("to")))
+        .groupBy("from", "to").agg(F.count("*").alias("n"))
+        .join(g.vertices.select(F.col("id").alias("from")).distinct(), "from", "left_semi"), "lpa")
+    # what a hub sends meets a broadcast of the labels of hubs (at most 1/HOT_SHARE vertices)
     hot = materialize(hot_keys(messages, "from", HOT_SHARE), "lpa-hot")
     any_hot = hot.limit(1).count() > 0  # reads at most one row of a tiny written table
-    labels = g.vertices.select("id", F.col("id").alias("label")).distinct()
-    for _ in range(rounds):
-        senders = labels.withColumnRenamed("id", "from")
-        joined = (skew_join(messages, senders, "from", hot=hot) if any_hot
-                  else messages.join(senders, "from"))
-        incoming = joined.groupBy(F.col("to").alias("id"), "label").agg(F.count("*").alias("n"))
-        best = incoming.groupBy("id").agg(
-            F.max(F.struct(F.col("n"), (-F.col("label")).alias("neg"))).alias("__best"))
-        previous = labels
-        labels = materialize(
-            labels.join(best, "id", "left")
-            .select("id", F.coalesce(-F.col("__best.neg"), F.col("label")).alias("label")), "lpa")
-        release(previous)  # the round before is no longer needed by any plan
-    release(messages)
-    release(hot)
+    labels = materialize(g.vertices.select("id", F.col("id").alias("label")).distinct(), "lpa")
+    vertices = labels
+    log = [messages.select(F.col("to").alias("id"), F.col("from").alias("label"), "n")]
+    written = [messages, hot]
+    for r in range(rounds):
+        counted = log[0]
+        for part in log[1:]:
+            counted = counted.unionByName(part)
+        if r:
+            counted = counted.join(log[-1].select("id").distinct(), "id", "left_semi")
+        best = (counted.groupBy("id", "label").agg(F.sum("n").alias("n")).where("n > 0")
+                .groupBy("id").agg(F.max(F.struct(F.col("n"), (-F.col("label")).alias("neg"))).alias("__best")))
+        changed = materialize(labels.join(best.select("id", (-F.col("__best.neg")).alias("new")), "id")
+                              .where("label <> new"), "lpa-changed")
+        written.append(changed)
+        if not changed.limit(1).count():
+            break
+        previous, labels = labels, materialize(
+            labels.join(changed.select("id", "new"), "id", "left")
+            .select("id", F.coalesce("new", "label").alias("label")), "lpa")
+        if previous is not vertices:
+            release(previous)
+        if r + 1 < rounds:
+            senders = changed.withColumnRenamed("id", "from")
+            sent = (skew_join(messages, senders, "from", hot=hot) if any_hot else messages.join(senders, "from"))
+            news = F.explode(F.array(F.struct(F.col("label").alias("label"), (-F.col("n")).alias("n")),
+                                     F.struct(F.col("new").alias("label"), F.col("n").alias("n"))))
+            delta = (sent.select(F.col("to").alias("id"), news.alias("x")).groupBy("id", "x.label")
+                     .agg(F.sum("x.n").alias("n")).where("n <> 0"))
+            log.append(materialize(delta, "lpa-log"))
+            written.append(log[-1])
+    for table in written:
+        release(table)
     return labels
 
 

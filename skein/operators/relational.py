@@ -1,5 +1,5 @@
-"""Relational building blocks: ordered top-k, distributed prefix sums, dense ids,
-hash splits and size-checked broadcast."""
+"""Relational building blocks: ordered top-k, distributed prefix sums, dense ids, hash and
+exact-share splits, hot keys and skew joins."""
 
 from __future__ import annotations
 
@@ -41,14 +41,46 @@ def arg_top(df: DataFrame, by, k: int = 1, desc: bool = True,
     return df.orderBy(*order).limit(k)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast-hint ``df`` only after checking it holds at most ``max_rows`` rows.
+# Ranges for each shuffle partition (so that hashing them over partitions evens out), and sampled
+# keys for each range: the driver holds RANGES * partitions boundaries, whatever the table's size.
+RANGES, SAMPLED = 4, 64
+
+
+def range_bounds(df: DataFrame, order: Sequence[str], ranges: int) -> list:
+    """At most ``ranges - 1`` ascending keys that cut ``df`` into ranges of about equal size.
+
+    A bottom-k sketch: the keys with the smallest hashes are a uniform sample that tasks merge, and
+    every SAMPLED-th of it in order is a boundary. The result is a plain list, drawn once."""
+    size = ranges * SAMPLED
+    key = F.struct(*order)
+    sample = (df.select(key.alias("key"), F.xxhash64(*order).alias("turn")).distinct()
+              .orderBy("turn", "key").limit(size).select("key"))
+    # the sample is bounded, so one task may number it
+    numbered = sample.select("key", F.row_number().over(Window.orderBy("key")).alias("at"),
+                             F.count("*").over(Window.partitionBy()).alias("n"))
+    step = F.greatest(F.lit(1), F.floor(F.col("n") / ranges))
+    return [r.key for r in numbered.where((F.col("at") % step == 0) & (F.col("at") < F.col("n")))
+            .orderBy("at").select("key").limit(ranges - 1).collect()]
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is returned
-    unhinted and Spark plans a shuffle join (AQE may still broadcast from measured sizes).
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return (F.broadcast(df) if small else df), small
+
+def range_of(df: DataFrame, order: Sequence[str], bounds: Sequence) -> Column:
+    """0-based range of a row: how many of the ascending ``bounds`` its key is not below, found by
+    binary search. A pure function of the row and the list, so every plan that uses it agrees."""
+    if not bounds:
+        return F.lit(0)
+    kinds = [df.schema[c].dataType for c in order]
+    table = F.array(*[F.struct(*[F.lit(v).cast(t).alias(c) for c, v, t in zip(order, b, kinds)]) for b in bounds])
+    key = F.struct(*order)
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.shiftright(s["lo"] + s["hi"], 1)
+        open_, up = s["lo"] < s["hi"], F.get(table, mid) <= s["key"]
+        return F.struct(F.when(open_ & up, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(open_ & ~up, mid).otherwise(s["hi"]).alias("hi"), s["key"].alias("key"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"), key.alias("key"))
+    steps = F.array(*[F.lit(i) for i in range(len(bounds).bit_length())])
+    return F.aggregate(steps, start, halve, lambda s: s["lo"])
 
 
 def prefix_sum(df: DataFrame, order: Sequence[str], values: Sequence[str],
@@ -56,34 +88,28 @@ def prefix_sum(df: DataFrame, order: Sequence[str], values: Sequence[str],
                descending: bool = False) -> DataFrame:
     """Inclusive running sums of ``values`` in the order of the ``order`` columns.
 
-    Never one un-partitioned window: rows are range-partitioned on the order key, each
-    range computes local running sums, and per-range totals (one row per range, so a
-    bounded table) are turned into offsets and broadcast back. The order key should be
-    unique (aggregate first); ties inside one key would otherwise be summed in arbitrary order.
+    Never one un-partitioned window. ``df`` is written once; a quantile sketch of its keys fixes one
+    list of boundaries; every row finds its range by binary search in that list. Ranges take local
+    running sums, and their totals (partial sums, one row per range) become offsets that are
+    broadcast back. Totals and rows read the same table and the same list, whatever else they
+    carry. The order key should be unique (aggregate first); ties would be summed in arbitrary order
+    among themselves. Nulls come first (last if ``descending``), NaN after all numbers.
     """
-    spark = df.sparkSession
-    n = partitions or default_parallelism(spark)
+    n = (partitions or default_parallelism(df.sparkSession)) * RANGES
+    stored = materialize(df, "prefix")
+    ranged = stored.withColumn("__range", range_of(stored, order, range_bounds(stored, order, n)))
     keys = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    ranged = (df.repartitionByRange(n, *keys)
-              .withColumn("__range", F.spark_partition_id()))
-    local_w = (Window.partitionBy("__range").orderBy(*keys)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged
-    for v in values:
-        local = local.withColumn(f"__local_{v}", F.sum(v).over(local_w))
-    totals = local.groupBy("__range").agg(*[F.sum(v).alias(f"__tot_{v}") for v in values])
-    offs_w = (Window.orderBy("__range")
+    local = Window.partitionBy("__range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = ranged.groupBy("__range").agg(*[F.sum(v).alias(f"__off_{v}") for v in values])
+    # one row per range: a bound fixed by ``n``, not by the data
+    before = (Window.orderBy(F.desc("__range") if descending else F.asc("__range"))
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(
-        "__range",
-        *[F.coalesce(F.sum(f"__tot_{v}").over(offs_w), F.lit(0)).alias(f"__off_{v}")
-          for v in values])
-    # offsets has one row per range partition: a bound fixed by ``n``, not by the data.
-    out = local.join(F.broadcast(offsets), "__range")
-    for v in values:
-        out = out.withColumn(f"{out_prefix}{v}", F.col(f"__local_{v}") + F.col(f"__off_{v}"))
-    drop = ["__range"] + [f"__local_{v}" for v in values] + [f"__off_{v}" for v in values]
-    return out.drop(*drop)
+    offsets = totals.select("__range", *[F.coalesce(F.sum(f"__off_{v}").over(before), F.lit(0)).alias(f"__off_{v}")
+                                         for v in values])
+    out = ranged.select("*", *[F.sum(v).over(local).alias(f"__local_{v}") for v in values])
+    return (out.join(F.broadcast(offsets), "__range")
+            .select(*df.columns, *[(F.col(f"__local_{v}") + F.col(f"__off_{v}")).alias(f"{out_prefix}{v}")
+                                   for v in values]))
 
 
 def dense_ids(df: DataFrame, key: str, out: str = "id", checkpoint: bool = True) -> DataFrame:
@@ -119,6 +145,56 @@ def hash_split(df: DataFrame, keys: Sequence[str] | None = None, share: float =
     return train, test
 
 
+DIGIT_BITS = 12  # of a key hash settled by each pass of kth_hash: a histogram of 4096 counts
+
+
+def kth_hash(df: DataFrame, turn: Column, k: int) -> int:
+    """The ``k``-th smallest (from 1) of the 60-bit hashes ``turn`` of the rows, by refining a
+    histogram: each pass counts the rows by the next digit among those that share the digits found
+    so far, so the driver sees 4096 counts a pass and no pass shuffles rows."""
+    hashes, prefix, left = df.select(turn.alias("turn")), 0, k
+    for shift in range(60 - DIGIT_BITS, -1, -DIGIT_BITS):
+        here = hashes.where(F.shiftright("turn", shift + DIGIT_BITS) == F.lit(prefix))
+        digit = F.shiftright("turn", shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
+        for row in here.groupBy(digit.alias("digit")).agg(F.count("*").alias("n")).orderBy("digit").collect():
+            if row.n >= left:
+                break
+            left -= row.n
+        prefix = (prefix << DIGIT_BITS) | row.digit
+    return prefix
+
+
+def exact_split(df: DataFrame, keys: Sequence[str], share: float = 0.8,
+                seed: int = 12345) -> tuple[DataFrame, DataFrame]:
+    """Train / test split with exactly ``round(share * rows)`` train rows.
+
+    Rows are ordered by a hash of ``keys`` (which should tell rows apart); the train rows are those up to the
+    k-th smallest hash. The assignment depends on the keys alone, not on partitions. Rows whose
+    hashes tie at the cut (rows that repeat their keys) are settled by a count of those few rows.
+    """
+    turn = F.xxhash64(F.lit(seed), *keys).bitwiseAND(F.lit((1 << 60) - 1))
+    stored = materialize(df.withColumn("__turn", turn), "split")
+    total = stored.count()
+    k = round(share * total)
+    if k <= 0:
+        return stored.where(F.lit(False)).drop("__turn"), stored.drop("__turn")
+    cut = kth_hash(stored, F.col("__turn"), k)
+    below = stored.where(F.col("__turn") < cut)
+    ties = stored.where(F.col("__turn") == cut)
+    spare = k - below.count()
+    if ties.count() == spare:
+        return stored.where(F.col("__turn") <= cut).drop("__turn"), stored.where(F.col("__turn") > cut).drop("__turn")
+    # rows with one hash: the first ``spare`` of them in the order of all columns go to train
+    placed = materialize(prefix_sum(ties.groupBy(*df.columns, "__turn").agg(F.count("*").alias("__copies")),
+                                    list(df.columns), ["__copies"], out_prefix="__upto_"), "split-ties")
+    first = F.greatest(F.lit(0), F.least(F.col("__copies"), F.lit(spare) - F.col("__upto___copies") + F.col("__copies")))
+    def copies(n: Column) -> DataFrame:  # noqa: E306
+        return (placed.withColumn("__n", n.cast("int")).where("__n > 0")
+                .withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*df.columns))
+    return (below.drop("__turn").unionByName(copies(first)),
+            stored.where(F.col("__turn") > cut).drop("__turn").unionByName(copies(F.col("__copies") - first)))
+
+
 def require_not_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Fail the job on the first null in ``cols`` instead of only asserting the schema."""
     cols = list(cols or df.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skein.operators import metrics as M
 from skein.operators import ml_prep as P
 from skein.operators import recommend as R
+from skein.operators.relational import exact_split, prefix_sum
 from skein.plans import views_sql as V
 from skein.plans.registry import register
 from skein.sources import testdata as td
@@ -104,6 +105,31 @@ def q_similar_users(spark, sf):
     return R.similar_users(c, train.select("user").distinct(), items)
 
 
+# ------------------------------------------------------------------ running totals, exact split
+
+@register("running_total", """SELECT o_orderdate, o_orderkey, o_custkey, o_orderstatus, cents,
+  (sum(cents) OVER (ORDER BY o_orderdate, o_orderkey))::BIGINT AS total_cents,
+  row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS place
+FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)""")
+def q_running_total(spark, sf):
+    o = td.table(spark, sf, "orders").select(
+        "o_orderdate", "o_orderkey", "o_custkey", "o_orderstatus",
+        F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"), F.lit(1).cast("long").alias("one"))
+    return prefix_sum(o, ["o_orderdate", "o_orderkey"], ["cents", "one"]).select(
+        "o_orderdate", "o_orderkey", "o_custkey", "o_orderstatus", "cents",
+        F.col("cum_cents").alias("total_cents"), F.col("cum_one").alias("place"))
+
+
+@register("exact_split_shares", """SELECT part, CASE WHEN part = 'train' THEN k ELSE n - k END AS n
+FROM (SELECT count(*) AS n, CAST(round(0.8 * count(*)) AS BIGINT) AS k FROM lineitem),
+     (SELECT unnest(['train', 'test']) AS part)""")
+def q_exact_split_shares(spark, sf):
+    rows = td.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    train, test = exact_split(rows, ["l_orderkey", "l_linenumber"], 0.8)
+    return (train.select(F.lit("train").alias("part")).unionByName(test.select(F.lit("test").alias("part")))
+            .groupBy("part").agg(F.count("*").alias("n")))
+
+
 # ------------------------------------------------------------------ feature preparation
 
 _BIG = f"""big AS (SELECT l_quantity, l_discount, l_extendedprice,

@@ -88,6 +88,74 @@ def test_simple_paths_brute_force(spark):
     assert got == out
 
 
+@pytest.mark.parametrize("max_edges", [1, 2, 3, 5, 6])
+def test_paths_of_any_length_and_vertex_sets(spark, max_edges):
+    import random
+    rnd = random.Random(max_edges)
+    pairs = sorted({(rnd.randint(0, 8), rnd.randint(0, 8)) for _ in range(26)})
+    gr = G.Graph(spark.createDataFrame([(i, "s" if i < 2 else "t" if i > 6 else "m") for i in range(9)], "id long, kind string"),
+                 spark.createDataFrame([(a, b, 1.0) for a, b in pairs], "src long, dst long, distance double"))
+
+    def walk(path, ends, through):
+        if len(path) > 1 and path[-1] in ends:
+            yield tuple(path)
+            if not through:
+                return
+        if len(path) <= max_edges:
+            for a, b in pairs:
+                if a == path[-1] and b not in path:
+                    yield from walk([*path, b], ends, through)
+
+    one = [tuple(r.path) for r in G.simple_paths(gr, 0, 8, max_edges).collect()]
+    assert sorted(one) == sorted(walk([0], {8}, False))
+    found = G.simple_paths(gr, F.col("kind") == "s", F.col("kind") == "t", max_edges).collect()
+    assert sorted(tuple(r.path) for r in found) == sorted(p for s in (0, 1) for p in walk([s], {7, 8}, True))
+    assert all(r.n_edges == len(r.path) - 1 == r.distance for r in found)
+
+
+def test_components_of_a_power_law_graph_with_a_hub(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    n = 3000
+    edges = [(7, int(x)) for x in rng.integers(0, n, 2000)]  # a third of all edges
+    edges += [(int(a), int(b)) for a, b in zip((rng.random(4000) ** 3 * n * 4).astype(int), rng.integers(0, 4 * n, 4000))]
+    gr = G.Graph(spark.range(4 * n), spark.createDataFrame(edges, "src long, dst long").repartition(6))
+    parent = list(range(4 * n))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    assert dict(_pairs(G.components(gr), "id", "component")) == {i: find(i) for i in range(4 * n)}
+    # of the rows that are shuffled to the first round's join none has the hub's key
+    ends = spark.createDataFrame([(7, 2000), (8, 1), (9, 1999)], "u long, n long")
+    assert [r.u for r in G._hubs(ends, "n", 8000).collect()] == []
+    assert sorted(r.u for r in G._hubs(ends, "n", 4000).collect()) == [7, 9]
+    assert G.components(G.Graph(spark.range(3), gr.edges.limit(0))).where("id <> component").count() == 0
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3, 7])
+def test_label_propagation_by_changes_equals_plain_rounds(spark, rounds):
+    import random
+    from collections import Counter
+    rnd = random.Random(rounds)
+    edges = [(rnd.randint(0, 59), rnd.randint(0, 59)) for _ in range(90)] + [(0, i) for i in range(40)] + [(99, 1), (5, 98)]
+    gr = G.Graph(spark.range(60), spark.createDataFrame(edges, "src long, dst long"))
+    label = {i: i for i in range(60)}
+    for _ in range(rounds):
+        seen = {i: Counter() for i in range(60)}
+        for a, b in set(edges):
+            for x, y in ((a, b), (b, a)):
+                if x in label and y in seen:
+                    seen[y][label[x]] += 1
+        label = {i: min(c, key=lambda v: (-c[v], v)) if c else label[i] for i, c in seen.items()}
+    assert dict(_pairs(G.label_propagation(gr, rounds), "id", "label")) == label
+
+
 def test_components_and_clusters(g):
     comp = dict(_pairs(G.components(g), "id", "component"))
     assert comp == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 6, 7: 6, 8: 8, 9: 9}
