@@ -40,8 +40,12 @@ _STATE = {
     # the memory of all state partitions of an executor together
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # a partition's files take the disk that they fill, not megabytes ahead
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
+STATE_BYTES = 256 << 20  # bytes of documents' files for each partition of the state, which holds a tenth of them
+
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), SPACE, "")
@@ -95,11 +99,19 @@ def stream(spark: SparkSession, path: str, schema: StructType, files_per_batch:
     return reader.parquet(_as_glob(path.rstrip("/")))
 
 
-def ingest(docs: DataFrame, folder: str, bits: int = 256) -> None:
+def state_partitions(docs: DataFrame) -> int:
+    """By the bytes of the files: a state partition opens files of its own in every batch, so there are
+    as many as the cluster has cores, or as the bytes need."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // STATE_BYTES))
+
+
+def ingest(docs: DataFrame, folder: str, bits: int = 256, partitions: int | None = None) -> None:
     """Stream all documents there are now into the keyed state of ``folder``, and stop. Called again,
-    it takes only the files that have come since."""
+    it takes only the files that have come since. The first call fixes the state's ``partitions``."""
     state = _rows(docs, bits).groupBy("digest").agg(F.max(_rank()).alias("stays"), F.count("*").alias("group_size"))
-    with _settings(docs.sparkSession, _STATE):
+    wanted = _STATE | ({"spark.sql.shuffle.partitions": str(partitions)} if partitions else {})
+    with _settings(docs.sparkSession, wanted):
         query = (state.writeStream.outputMode("update").format("noop")
                  .option("checkpointLocation", folder).trigger(availableNow=True).start())
         query.awaitTermination()
@@ -157,5 +169,5 @@ def deduplicate(spark: SparkSession, path: str, folder: str | None = None, files
     row that it now holds."""
     folder = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/dedup-{uuid.uuid4().hex}"
     docs = spark.read.parquet(path)
-    ingest(stream(spark, path, docs.schema, files_per_batch), folder, bits)
+    ingest(stream(spark, path, docs.schema, files_per_batch), folder, bits, state_partitions(docs))
     return settle(docs, held(spark, folder), bits)
