@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.common import let
+from skein.session import materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
 LETTERS = "ABCDE"
@@ -62,6 +63,8 @@ def masks(docs: DataFrame, labels: DataFrame) -> DataFrame:
     least = (rows.where(F.col("doc_id").isNotNull()).groupBy("digest")
              .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
              .where("least <> most").select("digest", "least"))  # texts that one document has need no join
+    # written, so that the join below meets plain shuffles of both sides and Spark can split a hot text
+    least = materialize(least, "least")
     marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                            (F.col("quality") == 1).cast("int").alias("good"),
                            (F.col("toxic") == 1).cast("int").alias("toxic"))
