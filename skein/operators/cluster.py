@@ -1,4 +1,4 @@
-"""Clustering: k-means and Gaussian mixtures (MLlib), centres, assignments, profiles."""
+"""Clustering results: centres, mixture parameters, assignments, profiles (fits: ``grid_fit``)."""
 
 from __future__ import annotations
 
@@ -16,20 +16,6 @@ def profile(df: DataFrame, cluster: str, features: Sequence[str]) -> DataFrame:
     return df.groupBy(F.col(cluster).alias("cluster")).agg(*aggs)
 
 
-def fit_kmeans(df: DataFrame, k: int, max_iter: int = 20, init_mode: str = "k-means||",
-               seed: int = 123456, features: str = "features", prediction: str = "prediction"):
-    from pyspark.ml.clustering import KMeans
-    return KMeans(k=k, maxIter=max_iter, initMode=init_mode, seed=seed, featuresCol=features,
-                  predictionCol=prediction).fit(df)
-
-
-def fit_gmm(df: DataFrame, k: int, seed: int = 123456, max_iter: int = 100,
-            features: str = "features", prediction: str = "prediction"):
-    from pyspark.ml.clustering import GaussianMixture
-    return GaussianMixture(k=k, seed=seed, maxIter=max_iter, featuresCol=features,
-                           predictionCol=prediction).fit(df)
-
-
 def centres(model, spark=None) -> DataFrame:
     """k-means centres as rows (cluster, dim, value); k x d values, bounded by the model."""
     spark = spark or _active()
@@ -44,10 +30,9 @@ def gaussians(model, spark=None) -> DataFrame:
     """
     spark = spark or _active()
     rows = []
-    for c, (g, w) in enumerate(zip(model.gaussiansDF.collect(), model.weights)):
-        for i, v in enumerate(g["mean"]):
+    for c, (w, mean, cov) in enumerate(zip(model.weights, model.means, model.covariances)):
+        for i, v in enumerate(mean):
             rows.append((c, float(w), "mean", i, 0, float(v)))
-        cov = g["cov"].toArray()
         for i in range(cov.shape[0]):
             for j in range(cov.shape[1]):
                 rows.append((c, float(w), "cov", i, j, float(cov[i, j])))

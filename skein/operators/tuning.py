@@ -10,12 +10,11 @@ import itertools
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.operators.classify import describe_params
-from skein.operators.cluster import fit_gmm, fit_kmeans
+from skein.operators.grid_fit import kmeans_grid, mixture_grid
 from skein.operators.metrics import confusion
 from skein.operators.relational import arg_top
 from skein.session import spread
@@ -115,46 +114,28 @@ def cross_validate(df: DataFrame, estimator, grid, metrics: Sequence[str] = ("ac
 
 def search_kmeans(df: DataFrame, ks=(3, 5, 7, 10), max_iters=(10, 20, 50),
                   init_modes=("k-means||", "random"), seed: int = 123456,
-                  features: str = "features", parallelism: int = 1):
-    """Grid over k x maxIter x initMode, scored by silhouette (squared Euclidean).
+                  features: str = "features"):
+    """Grid over k x maxIter x initMode, scored by silhouette (squared Euclidean), all grid points in
+    one scan an iteration (:mod:`skein.operators.grid_fit`).
 
     Returns ``(trials, best_model)``; the first trial wins ties, as in a strict ``>`` scan.
     """
-    spark = df.sparkSession
-    grid = list(itertools.product(ks, max_iters, init_modes))
-    ev = ClusteringEvaluator(featuresCol=features, predictionCol="prediction",
-                             metricName="silhouette", distanceMeasure="squaredEuclidean")
-
-    def run(params):
-        k, it, mode = params
-        model = fit_kmeans(df, k, it, mode, seed, features)
-        return model, ev.evaluate(model.transform(df))
-
-    with ThreadPoolExecutor(max(1, parallelism)) as pool:
-        results = list(pool.map(run, grid))
-    scores = [s for _, s in results]
-    b = _pick(scores, True)
-    rows = [(i, k, it, mode, float(s), i == b) for i, ((k, it, mode), (_, s)) in enumerate(zip(grid, results))]
-    trials = spark.createDataFrame(rows, "trial int, k int, max_iter int, init_mode string, "
-                                         "silhouette double, chosen boolean")
-    return trials, results[b][0]
+    results = kmeans_grid(df, ks, max_iters, init_modes, seed, features)
+    b = _pick([r[-1] for r in results], True)
+    rows = [(i, k, it, mode, float(s), i == b) for i, (k, it, mode, _, s) in enumerate(results)]
+    trials = df.sparkSession.createDataFrame(rows, "trial int, k int, max_iter int, init_mode string, "
+                                                   "silhouette double, chosen boolean")
+    return trials, results[b][3]
 
 
 def search_gmm(df: DataFrame, ks=(3, 5, 7, 10), seed: int = 123456, features: str = "features",
-               parallelism: int = 1):
-    """Gaussian mixtures for each k, scored by the training log-likelihood."""
-    spark = df.sparkSession
-
-    def run(k):
-        model = fit_gmm(df, k, seed, features=features)
-        return model, float(model.summary.logLikelihood)
-
-    with ThreadPoolExecutor(max(1, parallelism)) as pool:
-        results = list(pool.map(run, list(ks)))
-    b = _pick([s for _, s in results], True)
-    rows = [(i, int(k), s, i == b) for i, (k, (_, s)) in enumerate(zip(ks, results))]
-    trials = spark.createDataFrame(rows, "trial int, k int, log_likelihood double, chosen boolean")
-    return trials, results[b][0]
+               max_iter: int = 100):
+    """Gaussian mixtures for all k together, scored by the training log-likelihood."""
+    results = mixture_grid(df, ks, seed, max_iter, features)
+    b = _pick([r.log_likelihood for r in results], True)
+    rows = [(i, int(k), float(r.log_likelihood), i == b) for i, (k, r) in enumerate(zip(ks, results))]
+    trials = df.sparkSession.createDataFrame(rows, "trial int, k int, log_likelihood double, chosen boolean")
+    return trials, results[b]
 
 
 def search_als(train: DataFrame, test: DataFrame, ranks=(10, 20, 30), reg_params=(0.01, 0.1, 0.5),

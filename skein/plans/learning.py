@@ -7,7 +7,6 @@ are the reference's full grids.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +23,8 @@ from skein.sources import testdata as td
 CV_FOLDS = 3
 LOGIT_REGS = [0.01, 0.1]
 FOREST_TREES, FOREST_DEPTHS, FOREST_SUBSETS = [10], [5], ["sqrt", "all"]
-KMEANS_KS, KMEANS_ITERS, KMEANS_INITS = [3, 5], [10], ["k-means||", "random"]
-GMM_KS = [3, 5]
+KMEANS_KS, KMEANS_ITERS, KMEANS_INITS = [3, 5, 7, 10], [10, 20, 50], ["k-means||", "random"]  # the full grid
+GMM_KS = [3, 5, 7, 10]  # the full grid
 SEED = 123456
 PARALLEL_TRIALS = 1  # fits run one after another (concurrent MLlib fits stalled a local run)
 
@@ -70,8 +69,7 @@ def q_forest_cv(spark, sf):
 
 def _kmeans(spark, sf):
     data = point_vectors(spark, sf)
-    trials, model = T.search_kmeans(data, KMEANS_KS, KMEANS_ITERS, KMEANS_INITS, SEED,
-                                    parallelism=PARALLEL_TRIALS)
+    trials, model = T.search_kmeans(data, KMEANS_KS, KMEANS_ITERS, KMEANS_INITS, SEED)
     return data, trials, model
 
 
@@ -99,7 +97,7 @@ def q_kmeans_silhouette(spark, sf):
 
 def _gmm(spark, sf):
     data = point_vectors(spark, sf)
-    trials, model = T.search_gmm(data, GMM_KS, SEED, parallelism=PARALLEL_TRIALS)
+    trials, model = T.search_gmm(data, GMM_KS, SEED)
     return data, trials, model
 
 
@@ -117,5 +115,4 @@ def q_gmm_params(spark, sf):
 def q_gmm_assign(spark, sf):
     data, _, model = _gmm(spark, sf)
     out = model.transform(data)
-    return out.select("id", F.col("prediction").alias("cluster"),
-                      vector_to_array("probability").alias("probability"))
+    return out.select("id", F.col("prediction").alias("cluster"), "probability")

@@ -41,6 +41,35 @@ def test_gmm_search_picks_max_likelihood(spark):
     assert [r for r in rows if r.chosen][0].log_likelihood == max(r.log_likelihood for r in rows)
 
 
+def test_grids_do_not_depend_on_the_layout(spark):
+    data = point_vectors(spark, SF_SMALL)
+    for fit in (lambda d: T.search_kmeans(d, ks=(2, 4), max_iters=(3, 8)), lambda d: T.search_gmm(d, ks=(2, 3), max_iter=6)):
+        one, other = fit(data.repartition(3)), fit(data.orderBy("y").coalesce(1))
+        assert sorted(map(tuple, one[0].collect())) == sorted(map(tuple, other[0].collect()))
+
+
+def test_kmeans_grid_agrees_with_mllib_from_the_same_centres_and_scores(spark):
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    data = point_vectors(spark, SF_SMALL)
+    trials, model = T.search_kmeans(data, ks=(3,), max_iters=(10,), init_modes=("random",))
+    score = ClusteringEvaluator(metricName="silhouette").evaluate(model.transform(data))
+    assert math.isclose(trials.first().silhouette, score, abs_tol=1e-6)
+
+
+def test_mixture_recovers_two_groups_and_its_likelihood(spark):
+    rng = np.random.default_rng(1)
+    x = np.vstack([rng.normal((0, 0), (1, 0.5), (600, 2)), rng.normal((8, 3), (0.5, 2), (300, 2))])
+    data = P.assemble(spark.createDataFrame(x.tolist(), "a double, b double"), ["a", "b"])
+    trials, model = T.search_gmm(data, ks=(2,))
+    order = np.argsort(model.means[:, 0])
+    assert np.allclose(model.weights[order], [2 / 3, 1 / 3], atol=0.01)
+    assert np.allclose(model.means[order], [[0, 0], [8, 3]], atol=0.3)
+    logs = model.log_terms(x)
+    assert math.isclose(trials.first().log_likelihood, np.logaddexp(logs[:, 0], logs[:, 1]).sum(), rel_tol=1e-6)
+    p = model.transform(data).select("probability", "prediction").collect()
+    assert all(abs(sum(r.probability) - 1) < 1e-9 and r.prediction == int(np.argmax(r.probability)) for r in p)
+
+
 def test_cross_validate_trial_table(spark):
     d = P.interaction_terms(P.threshold_label(td.points_big(spark, SF_SMALL), "l_extendedprice", 30000.0),
                             "l_quantity", "l_discount")
