@@ -16,7 +16,6 @@ from skein.operators import metrics as M
 from skein.operators import ml_prep as P
 from skein.operators import tuning as T
 from skein.plans.registry import register
-from skein.session import spread
 from skein.sources import testdata as td
 
 # Fixed query parameters: grids small enough for a correctness run.
@@ -35,8 +34,7 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def point_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    # seeded fits still depend on partitioning; spread() only widens a too-narrow input
-    return P.assemble(spread(td.points(spark, sf)), ["x", "y", "z"])
+    return P.assemble(td.points(spark, sf), ["x", "y", "z"])
 
 
 LOGIT_FEATURES = ["l_quantity", "l_discount", "l_quantity_l_discount", "l_quantity_squared",
