@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.llm.bpe import by_chars, encoder
-from skein.llm.common import id_and_text
+from skein.llm.common import give_back, id_and_text
 from skein.session import materialize
 
 CAPACITY, END_ID = 4096, 1
@@ -50,6 +50,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
                 yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
                     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                      ("length", pa.int64()), ("ids", pa.binary())]))
+        give_back()
 
     return id_and_text(docs).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids binary")
 
