@@ -75,6 +75,20 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Return what a task of this Python worker has freed to the system: idle workers stay beside the
+    executor, and those of an earlier stage otherwise keep their largest size."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
 class WordHashes(dict):
     """word bytes -> 64-bit hash, filled as words turn up."""
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.operators.relational import dense_ids, hash_split, skew_join
+from skein.operators.topn import top_items
 from skein.session import materialize
 
 REQUIRED = ("User_ID", "Stream_ID", "Streamer_Username", "Time_Start", "Time_Stop")
@@ -128,9 +129,7 @@ def top_n(views: DataFrame, n: int = 10, ranks=(10, 20, 30), reg_params=(0.01, 0
     train, test = materialize(train, "train"), materialize(test, "test")
     trials, model = search_als(train, test, ranks, reg_params, max_iters, seed=seed,
                                parallelism=parallelism)
-    recs = model.recommendForAllUsers(n)
-    flat = (recs.select("user", F.explode("recommendations").alias("r"))
-            .select("user", F.col("r.item").alias("item"), F.col("r.rating").alias("rating")))
+    flat = top_items(model.userFactors, model.itemFactors, n).lists
     decoded = flat.join(mapping, "item").select("user", "Stream_ID", "rating")
     return Recommendations(nest(decoded), test, train, model, mapping, trials)
 
@@ -153,9 +152,8 @@ def cold_start(recs: Recommendations, views: DataFrame, n: int = 10) -> DataFram
                  .join(shared, "Stream_ID", "left_semi")
                  .select(F.col("User_ID").alias("user"), "Stream_ID").distinct())
     sim_users = sim_pairs.select("user").distinct()
-    sim_recs = (recs.model.recommendForUserSubset(sim_users, n)
-                .select("user", F.explode("recommendations").alias("r"))
-                .select("user", F.col("r.item").alias("cand"), F.col("r.rating").alias("rating")))
+    factors = recs.model.userFactors.join(sim_users.withColumnRenamed("user", "id"), "id", "left_semi")
+    sim_recs = top_items(factors, recs.model.itemFactors, n).lists.withColumnRenamed("item", "cand")
     per_item = (sim_pairs.join(sim_recs, "user")
                 .groupBy("Stream_ID", "cand").agg(F.max("rating").alias("rating")))
     per_item = _top_per(per_item, "Stream_ID", "cand", "rating", n)
@@ -167,6 +165,40 @@ def cold_start(recs: Recommendations, views: DataFrame, n: int = 10) -> DataFram
     return nest(decoded, group="cold_user")
 
 
+@dataclass(frozen=True)
+class ColdClasses:
+    """Cold start with ``match="all"``, in which every cold user gets the lists of every similar user, as a
+    factorised relation: cold users and similar users are linked to a class, and the pairs are the
+    join of both links. They are never formed; all that is asked of them follows from the factors."""
+    cold: DataFrame  # (class, cold_user)
+    similar: DataFrame  # (class, similar_user)
+
+    def counts(self) -> DataFrame:
+        """(class, cold_users, similar_users, pairs)"""
+        links = (self.cold.select("class", F.lit(1).alias("c"), F.lit(0).alias("s"))
+                 .unionByName(self.similar.select("class", F.lit(0).alias("c"), F.lit(1).alias("s"))))
+        n = links.groupBy("class").agg(F.sum("c").alias("cold_users"), F.sum("s").alias("similar_users"))
+        return n.where("cold_users > 0 AND similar_users > 0").withColumn("pairs", F.col("cold_users") * F.col("similar_users"))
+
+    def best_lists(self, lists: DataFrame, n: int = 10) -> DataFrame:
+        """(class, rank, item, rating): the ``n`` best items of the similar users' ``lists(user, item,
+        rating)``, each by its best rating; one list serves all cold users of the class."""
+        per = (lists.join(self.similar.withColumnRenamed("similar_user", "user"), "user")
+               .groupBy("class", "item").agg(F.max("rating").alias("rating")))
+        w = Window.partitionBy("class").orderBy(F.col("rating").desc(), F.col("item").asc())
+        return (per.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+                .select("class", "rank", "item", "rating"))
+
+
+def cold_classes(views: DataFrame, train: DataFrame, test: DataFrame) -> ColdClasses:
+    """The one class of all cold users (in ``test`` only) and all users of ``train`` who share an item with
+    any of them."""
+    cold = cold_users(train, test)
+    similar = similar_users(views, train.select("user").distinct(), items_seen_by(views, cold))
+    return ColdClasses(cold.select(F.lit(0).alias("class"), F.col("user").alias("cold_user")),
+                       similar.select(F.lit(0).alias("class"), "similar_user"))
+
+
 def segment(views: DataFrame, k: int = 3, seed: int = 12345,
             features: Sequence[str] = ("Duration", "Time_Start")) -> DataFrame:
     """Behavioural segments: k-means on standardised features -> ``cluster`` column."""

@@ -105,6 +105,16 @@ def q_similar_users(spark, sf):
     return R.similar_users(c, train.select("user").distinct(), items)
 
 
+@register("cold_pairs_all", _rsql("""SELECT 0 AS class, count(DISTINCT c.user) AS cold_users,
+  count(DISTINCT s.similar_user) AS similar_users, count(*) AS pairs
+FROM cold c CROSS JOIN (SELECT DISTINCT User_ID AS similar_user FROM clean
+  WHERE User_ID IN (SELECT user FROM train) AND Stream_ID IN (SELECT Stream_ID FROM cold_items)) s
+HAVING count(*) > 0"""))
+def q_cold_pairs_all(spark, sf):
+    c, _, train, test = _rated(spark, sf)
+    return R.cold_classes(c, train, test).counts()
+
+
 # ------------------------------------------------------------------ running totals, exact split
 
 @register("running_total", """SELECT o_orderdate, o_orderkey, o_custkey, o_orderstatus, cents,

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skein.operators import recommend as R
+from skein.operators.topn import top_items
 from skein.sources import testdata as td
 from tests.conftest import SF_SMALL
 
@@ -28,6 +29,43 @@ def recs(spark):
                           bucket=F.col("bucket"))
 
 
+@pytest.mark.parametrize("block_items", [7, 16_384])
+def test_top_items_equal_all_products(recs, block_items):
+    _, r = recs
+    got = {}
+    found = top_items(r.model.userFactors, r.model.itemFactors, 5, block_items)
+    for x in found.lists.collect():
+        got.setdefault(x.user, []).append((-x.rating, x.item))
+    want = {x.user: [(-y.rating, y.item) for y in x.recommendations] for x in r.model.recommendForAllUsers(5).collect()}
+    assert set(got) == set(want) and found.products <= found.all_products
+    for user, rows in got.items():
+        assert [s for s, _ in sorted(rows)] == pytest.approx([s for s, _ in want[user]], rel=1e-4, abs=1e-6)
+
+
+def test_top_items_stop_early_and_break_ties_by_item(spark):
+    items = spark.createDataFrame([(i, [float(100 - i // 2), 0.0]) for i in range(100)], "id int, features array<float>")
+    users = spark.createDataFrame([(1, [1.0, 0.0]), (2, [-1.0, 0.0]), (3, [0.0, 0.0]), (4, None)], "id int, features array<float>")
+    found = top_items(users, items, 3, 10)
+    lists = {}
+    for x in found.lists.orderBy("user", F.desc("rating"), "item").collect():
+        lists.setdefault(x.user, []).append((x.item, x.rating))
+    assert lists == {1: [(0, 100.0), (1, 100.0), (2, 99.0)], 2: [(98, -51.0), (99, -51.0), (96, -52.0)],
+                     3: [(0, 0.0), (1, 0.0), (2, 0.0)]}
+    assert found.products < found.all_products == 300  # the first user needs one block
+    assert top_items(users, items.limit(0), 3).lists.count() == 0
+
+
+def test_cold_classes_hold_the_product_as_factors(spark):
+    views = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "c"), (5, "c"), (6, "z")], "User_ID int, Stream_ID string")
+    train, test = (spark.createDataFrame([(u,) for u in us], "user int") for us in ((1, 2, 5, 6), (1, 3, 4)))
+    classes = R.cold_classes(views, train, test)
+    assert [tuple(r) for r in classes.counts().collect()] == [(0, 2, 2, 4)]
+    plan = classes.counts()._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    lists = spark.createDataFrame([(1, 7, 0.5), (5, 7, 0.9), (5, 8, 0.5), (1, 9, 0.4), (2, 9, 3.0)], "user int, item int, rating double")
+    assert [tuple(r) for r in classes.best_lists(lists, 2).orderBy("rank").collect()] == [(0, 1, 7, 0.9), (0, 2, 8, 0.5)]
+
+
 def test_top_n_sorted_bounded_and_decodable(recs):
     views, r = recs
     rows = r.result.collect()
