@@ -76,6 +76,11 @@ def q_kmeans_trials(spark, sf):
     return _kmeans(spark, sf)[1]
 
 
+@register("best_kmeans")
+def q_best_kmeans(spark, sf):
+    return T.best_trial(_kmeans(spark, sf)[1], "silhouette")
+
+
 @register("kmeans_assign")
 def q_kmeans_assign(spark, sf):
     data, _, model = _kmeans(spark, sf)
