@@ -1,12 +1,13 @@
 """Operator 4: URL filtering by association rules.
 
-Association rules say which combinations of URL tokens go with labelled bad pages. They are mined
-level by level over the token sets of at least MIN_URLS bad pages, however many pages there are; a
-set that holds for the same pages as a smaller one, or for bad pages only, is not extended, as no
-rule over more tokens could be surer. Rules are kept by confidence and by the odds that chance made
-them, a rule that a shorter, at least as confident rule already covers (the empty one, the share of
-bad labels, included) is pruned, and the rest match by an inverted index: each rule is listed under
-its rarest token, and a URL looks up only the rules listed under its own tokens.
+Association rules say which combinations of URL tokens go with labelled bad pages. Spark's FP-growth
+mines the bad pages for every token set that MIN_URLS of them hold, however many pages there are
+(an absolute support); tokens of the very same pages are mined as one item, so they don't multiply
+into their combinations. Each set is then counted over all labelled pages. Rules are kept by
+confidence and by the odds that chance made them, a rule that a shorter, at least as confident rule
+already covers (the empty one, the share of bad labels, included) is pruned, and the rest match by an
+inverted index: each rule is listed under its rarest token, and a URL looks up only the rules listed
+under its own tokens.
 
 Fixed host/path rules go before the mined ones; the longest that fits wins.
 
@@ -18,12 +19,12 @@ allowed; repeated rows are each judged; an empty table gives no rows; other colu
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.session import materialize, release
+from skein.session import materialize
 
 # (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
@@ -66,7 +67,7 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
                                F.slice(labels, i, F.greatest(F.size(labels), F.lit(1))), ".")))
     segments = F.transform(F.filter(F.split(path, "/"), lambda s: s != ""),
                            lambda s: F.regexp_replace(s, "[0-9]+", "#"))
-    extension = F.regexp_extract(path, r"\.([A-Za-z]{1,8})$", 1)
+    extension = F.regexp_extract(path, r"\.([A-Za-z]+)$", 1)
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^[^#?]*\?([^#]*)", 1)
     keys = F.filter(F.transform(F.split(query, "&"), lambda p: F.split(p, "=")[0]), lambda k: k != "")
     has = F.when(host == "", F.array().cast("array<string>")).otherwise(F.concat(
@@ -88,60 +89,59 @@ def _index(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else df
 
 
-def token_sets(labelled: DataFrame, min_urls: int = MIN_URLS) -> DataFrame | None:
-    """(tokens, n, bad): pages and bad pages of every token set that at least ``min_urls`` bad pages
-    of ``labelled(tokens, bad)`` hold, without those that hold for the same pages as a smaller set
-    and those that extend a set of bad pages only. None when there are none; written once a level."""
-    sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
+def token_groups(rows: DataFrame, min_urls: int) -> DataFrame:
+    """(token, item): tokens that at least ``min_urls`` bad pages of the baskets ``rows(basket, tokens, n,
+    bad)`` hold, but not all pages; tokens of the very same baskets share an ``item``, so that they
+    are mined as one and do not multiply into their combinations."""
+    sign = lambda seed: F.sum(F.xxhash64(F.lit(seed), "basket").cast("decimal(38,0)"))
+    pages = rows.agg(F.sum("n")).scalar()
+    names = (rows.select("basket", "n", "bad", F.explode("tokens").alias("token")).groupBy("token")
+             .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), sign(1).alias("one"), sign(2).alias("two"))
+             .where((F.col("bad") >= min_urls) & (F.col("n") < pages)))
+    # the signature (two 64-bit hashes summed over the baskets) stands for the set of baskets
+    return materialize(names.select("token", F.xxhash64("n", "bad", "one", "two").alias("item")), "tokens")
+
+
+def frequent_sets(labelled: DataFrame, min_urls: int = MIN_URLS) -> tuple[DataFrame, DataFrame] | None:
+    """((items, n, bad), (token, item)): Spark's FP-growth over the bad pages of ``labelled(tokens, bad)``
+    finds every set that at least ``min_urls`` of them hold; ``n`` counts all labelled pages with it."""
     rows = (labelled.groupBy(F.array_sort("tokens").alias("tokens"))
             .agg(F.count("*").alias("n"), F.count_if("bad").alias("bad")))
     rows = materialize(rows.withColumn("basket", F.monotonically_increasing_id()), "baskets")
-    pages = rows.agg(F.sum("n")).first()[0]
-    if not pages:
-        return None
-    # a token that all pages have adds nothing to the empty set
-    names = rows.select(F.explode("tokens").alias("token"), "n", "bad").groupBy("token").agg(*sums)
-    names = materialize(names.where((F.col("bad") >= min_urls) & (F.col("n") < pages))
-                        .withColumn("item", F.monotonically_increasing_id()), "tokens")
-    baskets = (rows.select("basket", "n", "bad", F.explode("tokens").alias("token"))
-               .join(_index(names.select("token", "item")), "token")
-               .groupBy("basket", "n", "bad").agg(F.array_sort(F.collect_list("item")).alias("items"))
-               .groupBy("items").agg(*sums).withColumn("basket", F.monotonically_increasing_id()))
-    baskets = materialize(baskets, "baskets")
-    level = names.select(F.array("item").alias("items"), "n", "bad")
-    held = baskets.select("basket", "n", "bad", F.explode("items").alias("item")).select(
-        "basket", "n", "bad", F.array("item").alias("items"))
-    found, k, last = [], 1, None
-    while level.limit(1).count():
-        found.append(level)
-        k += 1
-        # sets of a basket that share all but their last items join to one more item
-        open_sets = level.where("bad < n").select("items", F.col("n").alias("wider"))
-        held = materialize(held.join(_index(open_sets.select("items")), "items", "left_semi"), "held")
-        if last is not None:
-            release(last)
-        last = held
-        grown = (held.groupBy("basket", "n", "bad", F.slice("items", 1, k - 2).alias("head"))
-                 .agg(F.array_sort(F.collect_list(F.element_at("items", -1))).alias("ends"))
-                 .select("basket", "n", "bad", "head", "ends", F.explode("ends").alias("one"))
-                 .select("basket", "n", "bad", "head", "one", F.explode(F.filter(
-                     "ends", lambda e: e > F.col("one"))).alias("two"))
-                 .select("basket", "n", "bad", F.concat("head", F.array("one", "two")).alias("items")))
-        counts = grown.groupBy("items").agg(*sums).where(F.col("bad") >= min_urls)
-        smaller = counts.select("items", "n", "bad", F.explode(F.transform(
-            "items", lambda i: F.array_remove(F.col("items"), i))).alias("less"))
-        level = materialize(
-            smaller.join(open_sets.withColumnRenamed("items", "less"), "less").groupBy("items", "n", "bad")
-            .agg(F.count("*").alias("k"), F.min("wider").alias("wider"))
-            .where((F.col("k") == k) & (F.col("wider") > F.col("n"))).select("items", "n", "bad"), "level")
-        held = grown
-    if not found:
+    names = token_groups(rows, min_urls)
+    if not names.limit(1).count():
         return None
-    sets = reduce(DataFrame.unionByName, found).withColumn("id", F.monotonically_increasing_id())
-    sets = materialize(sets, "sets")
-    return (sets.select("id", "n", "bad", F.explode("items").alias("item")).join(_index(names.select("item", "token")), "item")
-            .groupBy("id", "n", "bad").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
-            .select("tokens", "n", "bad"))
+    baskets = materialize(
+        rows.select("basket", "n", "bad", F.explode("tokens").alias("token")).join(_index(names), "token")
+        .groupBy("basket", "n", "bad").agg(F.array_sort(F.collect_set("item")).alias("items"))
+        .groupBy("items").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+        .withColumn("basket", F.monotonically_increasing_id()), "baskets")
+    bad_pages = baskets.where("bad > 0").select("items", F.explode(F.sequence(F.lit(1), F.col("bad").cast("int"))))
+    total = baskets.agg(F.sum("bad")).first()[0]
+    # an absolute support: half a page less keeps a rounded quotient from asking for one page more
+    growth = FPGrowth(itemsCol="items", minSupport=min(1.0, (min_urls - 0.5) / total))
+    sets = materialize(growth.fit(bad_pages.select("items")).freqItemsets
+                       .select(F.array_sort("items").alias("items"), F.col("freq").alias("bad"))
+                       .withColumn("set", F.monotonically_increasing_id()), "sets")
+    # pages of a set: the baskets of its rarest item that hold the others as well
+    held = baskets.select("n", F.col("items").alias("held"), F.explode("items").alias("item"))
+    often = held.groupBy("item").agg(F.sum("n").alias("often"))
+    rarest = (sets.select("set", F.col("items").alias("all"), "bad", F.explode("items").alias("item")).join(often, "item")
+              .groupBy("set", "all", "bad").agg(F.min(F.struct("often", "item"))["item"].alias("item")))
+    counted = (held.join(_index(rarest), "item").where(F.size(F.array_except("all", "held")) == 0)
+               .groupBy("set", "all", "bad").agg(F.sum("n").alias("n")))
+    return materialize(counted.select(F.col("all").alias("items"), "n", "bad"), "sets"), names
+
+
+def _spell(found: DataFrame, names: DataFrame) -> DataFrame:
+    """``found(items, ...)`` with ``tokens`` instead: a row for each choice of one token per item."""
+    longest = found.agg(F.max(F.size("items"))).first()[0] or 0
+    rows = found.withColumn("tokens", F.array().cast("array<string>"))
+    for i in range(longest):  # as long as the longest rule
+        rows = (rows.withColumn("item", F.get("items", F.lit(i))).join(_index(names), "item", "left")
+                .withColumn("tokens", F.when(F.col("token").isNull(), F.col("tokens")).otherwise(F.array_append("tokens", F.col("token"))))
+                .drop("item", "token"))
+    return rows.withColumn("tokens", F.array_sort("tokens")).drop("items")
 
 
 def mine_rules(labelled: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_urls: int = MIN_URLS,
@@ -150,25 +150,25 @@ def mine_rules(labelled: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_
     spark = labelled.sparkSession
     labelled = materialize(labelled.where(F.size("tokens") > 0), "labelled")
     seen = labelled.agg(F.count("*").alias("all"), F.count_if("bad").alias("bad")).first()
-    sets = token_sets(labelled, min_urls) if min_urls <= seen.bad < seen["all"] else None
-    if sets is None:
+    mined = frequent_sets(labelled, min_urls) if min_urls <= seen.bad < seen["all"] else None
+    if mined is None:
         return spark.createDataFrame([], "rule_id long, tokens array<string>, confidence double, support double")
+    sets, names = mined
     # the empty rule is as confident as the share of bad labels: a rule no surer than that (lift 1) is redundant
     share, sure = seen.bad / seen["all"], F.col("confidence")
     # Chernoff's bound of the odds: exp(-n * divergence of the rule's share of bad pages from all labels')
     diverges = sure * F.log(sure / share) + F.when(sure < 1, (1 - sure) * F.log((1 - sure) / (1 - share))).otherwise(0)
     found = (sets.withColumn("confidence", F.col("bad") / F.col("n"))
              .where((sure >= min_confidence) & (sure > share) & (F.exp(-F.col("n") * diverges) <= chance))
-             .select("tokens", "confidence", (F.col("bad") / seen["all"]).alias("support")))
-    rules = materialize(found.withColumn("rule_id", F.xxhash64("tokens")), "rules")
-    # a rule is redundant when dropping one of its tokens leaves a rule at least as confident
-    wider = (rules.select("rule_id", "confidence", "tokens", F.explode("tokens").alias("t"))
-             .select("rule_id", "confidence",
-                     F.xxhash64(F.array_remove("tokens", F.col("t"))).alias("shorter"))
-             .join(rules.select(F.col("rule_id").alias("shorter"), F.col("confidence").alias("at_least")), "shorter")
-             .where(F.col("at_least") >= F.col("confidence")).select("rule_id").distinct())
-    return materialize(rules.join(wider, "rule_id", "left_anti")
-                       .select("rule_id", "tokens", "confidence", "support"), "rules")
+             .select("items", "confidence", (F.col("bad") / seen["all"]).alias("support")))
+    rules = materialize(found.withColumn("set", F.xxhash64("items")), "rules")
+    # a rule is redundant when dropping one of its items leaves a rule at least as confident
+    wider = (rules.select("set", "confidence", "items", F.explode("items").alias("i"))
+             .select("set", "confidence", F.xxhash64(F.array_remove("items", F.col("i"))).alias("shorter"))
+             .join(rules.select(F.col("set").alias("shorter"), F.col("confidence").alias("at_least")), "shorter")
+             .where(F.col("at_least") >= F.col("confidence")).select("set").distinct())
+    kept = materialize(rules.join(wider, "set", "left_anti").select("items", "confidence", "support"), "rules")
+    return materialize(_spell(kept, names).select(F.xxhash64("tokens").alias("rule_id"), "tokens", "confidence", "support"), "rules")
 
 
 def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
