@@ -3,14 +3,16 @@
 A text is read as words (runs of non-space, long ones in pieces of 16). Of every k consecutive
 words, those k-mers are chosen whose smallest inner s-word hash is at the first or the last place.
 The choice depends on the k words alone, so an edit elsewhere never moves it: the chosen k-mers are
-anchors that two texts share wherever they share words. ``anchors`` keeps them with positions;
-the fingerprint is the set's smallest hashes. Texts are compared by their whole sets, however long
-they are; positions are for aligning two texts and not used for likeness. Column functions only.
+anchors that two texts share wherever they share words. The fingerprint lists all anchors of the
+text, however long it is, as marks: the anchor's hash and its distance from the anchor before. Two
+fingerprints are matched by position: a mark is shared where the same anchor follows at the same
+distance, wherever the passage stands. Their likeness is the shared part of the distinct marks
+and can be had from the two fingerprint strings alone. Column functions only.
 
 Defined results: null and empty (or all-space) texts have the empty fingerprint, and two of them
 are alike by 1; a text of fewer than k words, or one of whose k-mers none is chosen, is one anchor;
-equal texts have equal fingerprints; rows that repeat both doc_id and text are one document; texts
-of one doc_id follow each other by a hash; a null doc_id is a document after all others; a single
+equal texts have equal fingerprints; rows that repeat both doc_id and text stand at one place in the
+order and each have its results; texts of one doc_id follow each other by a hash; a null doc_id is a document after all others; a single
 document is its own successor; an empty table gives no rows; other columns are ignored.
 """
 
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 
 from skein.llm.common import id_and_text, let, with_positions
 
-K, S, SKETCH = 3, 1, 128
+K, S = 3, 1
+HASH_BITS, FARTHEST = 28, 15  # of a mark: its hash, and 4 bits for the distance
 WORD = r"\S{1,16}"
 
 
@@ -52,27 +55,28 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), choose)
 
 
-def hashes(text: Column, k: int = K, s: int = S) -> Column:
-    """array<int>: the sorted distinct hashes (their upper halves) of all anchors."""
-    return F.array_sort(F.array_distinct(F.transform(
-        anchors(text, k, s), lambda a: F.shiftright(a["hash"], 32).cast("int"))))
-
-
-def sketch(text: Column, k: int = K, s: int = S, keep: int = SKETCH) -> Column:
-    """array<int>: the ``keep`` smallest :func:`hashes`."""
-    return F.slice(hashes(text, k, s), 1, keep)
+def marks(text: Column, k: int = K, s: int = S) -> Column:
+    """array<int>: the mark of every anchor in text order, repeats included: HASH_BITS of its hash, then
+    the words since the anchor before (0 for the first, FARTHEST at most)."""
+    def of(found):
+        def mark(x, i):
+            gap = F.when(i == 0, F.lit(0)).otherwise(F.least(F.lit(FARTHEST), x["at"] - F.get(found, i - 1)["at"]))
+            return F.shiftleft(F.shiftright(x["hash"], 64 - HASH_BITS).cast("int"), 4).bitwiseOR(gap)
+        return F.transform(found, mark)
+    return let(anchors(text, k, s), of)
 
 
 def as_text(found: Column) -> Column:
-    """The sketch as a string: 8 hexadecimal digits a hash."""
+    """The fingerprint string: 8 hexadecimal digits a mark."""
     return F.array_join(F.transform(found, lambda h: F.lpad(F.hex(h.cast("long").bitwiseAND(
         F.lit(0xFFFFFFFF))), 8, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: the shared part of two sets of :func:`hashes` (Jaccard)."""
-    return let(F.size(F.array_intersect(a, b)), lambda both: F.when(
-        F.size(a) + F.size(b) == 0, F.lit(1.0)).otherwise(both / (F.size(a) + F.size(b) - both)))
+    """0 to 1: the shared part of two fingerprints' distinct :func:`marks` (Jaccard)."""
+    return let(F.struct(F.array_distinct(a).alias("a"), F.array_distinct(b).alias("b")), lambda d: let(
+        F.size(F.array_intersect(d["a"], d["b"])), lambda both: F.when(
+            F.size(d["a"]) + F.size(d["b"]) == 0, F.lit(1.0)).otherwise(both / (F.size(d["a"]) + F.size(d["b"]) - both))))
 
 
 def positional_matches(a: Column, b: Column) -> Column:
@@ -84,12 +88,12 @@ def positional_matches(a: Column, b: Column) -> Column:
         x["at"].alias("at_a"), F.try_element_at(m, x["hash"]).alias("at_b"))), lambda p: p["at_b"].isNotNull()))
 
 
-def compare_with_next(docs: DataFrame, k: int = K, s: int = S, keep: int = SKETCH) -> DataFrame:
-    """(doc_id, n_chars, edited_text, sketch, edited_sketch, near_edited, near_next).
+def compare_with_next(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
+    """(doc_id, n_chars, edited_text, marks, edited_marks, near_edited, near_next) for every row.
 
     A document's edited text has its last third replaced by as much of the next document, in
     descending order of doc_id and round the end. Only each document's id, length and hash are
-    ordered; the next document is told how much is wanted of it and sends that, with its hashes."""
+    ordered; the next document is told how much is wanted of it and sends that, with its distinct marks."""
     rows = id_and_text(docs).withColumn("tie", F.xxhash64("text"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("tie")]
     narrow = (rows.select("doc_id", "tie", F.length("text").alias("n_chars"))
@@ -102,19 +106,21 @@ def compare_with_next(docs: DataFrame, k: int = K, s: int = S, keep: int = SKETC
     wants = placed.select(F.expr(f"pmod(pos + 1, {max(1, total.n)}L)").alias("pos"),
                           F.col("doc_id").alias("for_doc"), F.col("tie").alias("for_tie"),
                           F.floor(F.col("n_chars") / 3).cast("int").alias("take"))
-    links = placed.select("pos", F.col("doc_id").alias("of_doc"), F.col("tie").alias("of_tie")).join(wants, "pos").drop("pos")
+    links = placed.select("pos", "copies", F.col("doc_id").alias("of_doc"), F.col("tie").alias("of_tie")).join(wants, "pos").drop("pos")
     full = (rows.join(links, (F.col("tie") == F.col("of_tie")) & F.col("doc_id").eqNullSafe(F.col("of_doc")))
-            .select("doc_id", "tie", "text", "for_doc", "for_tie", "take"))
+            .select("doc_id", "tie", "text", "copies", "for_doc", "for_tie", "take"))
     sent = full.select("for_doc", "for_tie", F.substring("text", F.lit(1), F.col("take")).alias("head"),
-                       hashes(F.col("text"), k, s).alias("next_hashes"))
-    own = full.select("doc_id", "tie", "text")
+                       F.array_distinct(marks(F.col("text"), k, s)).alias("next_marks"))
+    own = full.select("doc_id", "tie", "text", "copies")
     n = F.length("text")
     both = (own.join(sent, (F.col("tie") == F.col("for_tie")) & F.col("doc_id").eqNullSafe(F.col("for_doc")))
-            .select("doc_id", n.cast("long").alias("n_chars"),
+            .select("doc_id", n.cast("long").alias("n_chars"), "copies",
                     F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")), "head").alias("edited_text"),
-                    hashes(F.col("text"), k, s).alias("hashes"), "next_hashes"))
-    done = both.withColumn("edited_hashes", hashes(F.col("edited_text"), k, s))
-    return done.select("doc_id", "n_chars", "edited_text", F.slice("hashes", 1, keep).alias("sketch"),
-                       F.slice("edited_hashes", 1, keep).alias("edited_sketch"),
-                       likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
-                       likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"))
+                    marks(F.col("text"), k, s).alias("marks"), "next_marks"))
+    done = both.withColumn("edited_marks", marks(F.col("edited_text"), k, s))
+    done = done.select("doc_id", "n_chars", "edited_text", "marks", "edited_marks", "copies",
+                       likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
+                       likeness(F.col("marks"), F.col("next_marks")).alias("near_next"))
+    if total.copies and total.copies > 1:
+        done = done.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copy")
+    return done.drop("copies")

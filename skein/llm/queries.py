@@ -47,8 +47,8 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
-                        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
-                        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+                        fingerprints.as_text(F.col("marks")).alias("fingerprint"),
+                        fingerprints.as_text(F.col("edited_marks")).alias("edited_fingerprint"),
                         "near_edited", "near_next")
 
 

@@ -1,6 +1,7 @@
 """The registered queries against plain Python versions, on whole small tables."""
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -100,6 +101,10 @@ def test_op6_edits_and_likeness(spark, docs):
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
         if following[d][1] == t:
             assert r.near_next == 1
+        # the likeness comes from the two fingerprint columns and nothing else
+        one, two, after = (set(re.findall(".{8}", f)) for f in (r.fingerprint, r.edited_fingerprint, got[following[d][0]].fingerprint))
+        assert r.near_edited == (len(one & two) / len(one | two) if one | two else 1.0)
+        assert r.near_next == (len(one & after) / len(one | after) if one | after else 1.0)
     long = [r for r in got.values() if r.n_chars > 300]
     assert np.mean([r.near_edited > r.near_next + 0.1 for r in long if r.near_next < 0.5]) > 0.98
 
