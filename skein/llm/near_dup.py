@@ -9,17 +9,19 @@
 3. The XOR population count of two odd sketches estimates how many samples differ; at high
    similarity that is precise, so pairs clearly below the threshold go. The rest are confirmed on
    full shingle sets and linked; links make components.
-4. A bucket whose members are by now one component is done. The members of others get an odd
-   sketch of many more samples, and those of different components are compared by it, in blocks;
-   only pairs at the threshold or just below it leave the comparison and are confirmed. After that
-   no pair that shares a bucket is unjudged.
+4. A bucket whose members are by now one component is done. In the others the star step is repeated
+   with new centres: each member meets the centre of another component than its own, so the pairs
+   of a round grow with the members, until a round links nothing new or ROUNDS are over.
+5. Members of buckets that are still open get an odd sketch of many more samples, and those of
+   different components are compared by it, in blocks; only pairs at the threshold or just below it
+   leave the comparison and are confirmed. After that no pair that shares a bucket is unjudged.
 
 Two documents at the threshold miss each other in all bands with a probability of at most MISS.
 
 Defined results: null, empty and wordless texts have an empty set and link with nothing; fewer
-words than a shingle are one shingle; equal sets are always linked; rows that repeat a doc_id are
-one node of the links; a null doc_id takes part and its component is the smallest known doc_id;
-an empty table gives no rows; other columns are ignored.
+words than a shingle are one shingle; equal sets are always linked; rows are judged one by one, so
+unlike texts of one doc_id are not linked by it; a null doc_id takes part and its component is the
+smallest known doc_id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import WordHashes, id_and_text, mix64, shingle_hashes
+from skein.llm.common import WordHashes, give_back, id_and_text, mix64, shingle_hashes
 from skein.operators.graph import Graph, components
 from skein.session import materialize
 
@@ -43,6 +45,7 @@ BAND_ROWS, MISS = 5, 1e-6
 # judged exactly unless their sketches differ by DEVIATIONS more than those at the threshold do.
 COARSE, FINE = (None, 512), (1024, 2048)
 DEVIATIONS = 6
+ROUNDS = 2  # of stars with new centres in buckets that hold several components
 BLOCK_MEMBERS = 512  # members of a bucket that one task compares with as many others
 
 
@@ -113,13 +116,13 @@ class Signer:
 
 
 def text_key(text: Column) -> Column:
-    """What tells the texts of rows without a doc_id apart."""
-    return F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
+    """What tells the texts of rows of one doc_id, or without any, apart."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
 
 
 def signatures(docs: DataFrame, bands: int, size: int = SHINGLE_WORDS) -> DataFrame:
     """(uid, doc_id, text_key, n_shingles, c1, c2, bands, sketch) for every row; written once, so that
-    ``uid`` stays the same. ``text_key`` is null where doc_id is not."""
+    ``uid`` stays the same."""
     def sign(batches):
         known, signer, uid = WordHashes(), Signer(bands), TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -132,12 +135,14 @@ def signatures(docs: DataFrame, bands: int, size: int = SHINGLE_WORDS) -> DataFr
                     out[name].append(v)
                 uid += 1
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
-                ("uid", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.string()), ("n_shingles", pa.int64()),
+                ("uid", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.binary()), ("n_shingles", pa.int64()),
                 ("c1", pa.int64()), ("c2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]))
+        known.clear()
+        give_back()
 
-    rows = id_and_text(docs).withColumn("text_key", F.when(F.col("doc_id").isNull(), text_key(F.col("text"))))
+    rows = id_and_text(docs).withColumn("text_key", text_key(F.col("text")))
     return materialize(rows.mapInArrow(
-        sign, "uid long, doc_id long, text_key string, n_shingles long, c1 long, c2 long, bands array<long>, sketch array<long>"), "sign")
+        sign, "uid long, doc_id long, text_key binary, n_shingles long, c1 long, c2 long, bands array<long>, sketch array<long>"), "sign")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS,
@@ -157,6 +162,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS,
             many = pa.list_(pa.int64())
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
                 ("doc_id", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("shingles", many), ("fine", many)]))
+        known.clear()
+        give_back()
 
     w = wanted.select("uid", F.col("doc_id").alias("w_doc"), F.col("c1").alias("w1"), F.col("c2").alias("w2"))
     ids = w.select("w_doc").distinct()
@@ -191,6 +198,20 @@ def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return materialize(linked, "links")
 
 
+def _next_stars(rows: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each member of the open buckets ``rows(key, uid, component)`` with a centre of
+    another component: the least member of the bucket in an order of its own and this turn, or, for
+    members of that one's component, the least of all others."""
+    order = F.xxhash64("key", F.lit(turn + 1))
+    heads = rows.groupBy("key", "component").agg(F.min(F.col("uid").bitwiseXOR(order)).alias("head"))
+    least = heads.groupBy("key").agg(F.min("head").alias("one"))
+    one = heads.join(least, "key").where("head = one").select("key", "one", F.col("component").alias("of_one"))
+    two = (heads.join(one, "key").where("component <> of_one").groupBy("key").agg(F.min("head").alias("two")))
+    centre = F.when(F.col("component") == F.col("of_one"), F.col("two")).otherwise(F.col("one")).bitwiseXOR(order)
+    met = rows.join(one.join(two, "key"), "key").select("uid", centre.alias("centre"))
+    return met.select(F.least("uid", "centre").alias("a"), F.greatest("uid", "centre").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE_WORDS) -> DataFrame:
     """(uid, doc_id, text_key, n_shingles, component_id, kept, first) for every row of ``docs``.
 
@@ -230,26 +251,31 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     star_pairs = materialize(judged(stars), "pairs")
     links = _confirm(star_pairs, sets_of(star_pairs.select(F.explode(F.array("a", "b")).alias("uid")), False), threshold)
 
-    # documents that a doc_id repeated on several rows holds together are linked as well
-    repeats = (member.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
-               .agg(F.min("rep").alias("src"), F.max("rep").alias("dst")).where("src <> dst"))
-    same_id = (member.join(repeats, "doc_id").where(F.col("rep") != F.col("src"))
-               .select("src", F.col("rep").alias("dst")).distinct())
-    links = links.unionByName(same_id)
-
     def labels(edges: DataFrame) -> DataFrame:
         ends = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
         return materialize(components(Graph(ends, edges)), "labels")
 
     label = labels(links)
 
-    # buckets in which several components are left
-    of = buckets.select("key", "uid", "n").join(label.withColumnRenamed("id", "uid"), "uid", "left").select(
-        "key", "uid", F.coalesce("component", "uid").alias("component"))
-    open_keys = (of.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                       F.count("*").alias("n")).where("lo <> hi"))
-    open_rows = materialize(of.join(open_keys.select("key", "n"), "key"), "open")
+    def still_open(label: DataFrame, rows: DataFrame) -> DataFrame:
+        """(key, uid, component, n) of the buckets in ``rows`` that hold several components."""
+        of = rows.select("key", "uid").join(label.withColumnRenamed("id", "uid"), "uid", "left").select(
+            "key", "uid", F.coalesce("component", "uid").alias("component"))
+        several = (of.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
+                   .where("lo <> hi").select("key", "n"))
+        return materialize(of.join(several, "key"), "open")
+
+    open_rows = still_open(label, buckets)
     open_sets = sets_of(open_rows.select("uid"), True)
+    for turn in range(ROUNDS):
+        pairs = materialize(judged(_next_stars(open_rows, turn)).join(star_pairs, ["a", "b"], "left_anti"), "pairs")
+        more = _confirm(pairs, open_sets, threshold)
+        if not more.limit(1).count():
+            break
+        star_pairs, links = star_pairs.unionByName(pairs), links.unionByName(more)
+        label = labels(links)
+        open_rows = still_open(label, open_rows)
+
     # members are dealt over blocks; every two blocks of a bucket meet in a task of their own
     blocks = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
     finer = open_sets.select("uid", "n_shingles", F.col("fine").alias("sketch")).join(reps.select("uid", "bands"), "uid")
@@ -286,20 +312,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE_WORDS) -> DataFrame:
-    """``docs`` with one document of each component: that of the smallest doc_id, or one row where no
-    id is known. Of rows that repeat a doc_id one stays; rows with a null doc_id are told apart by
-    their texts, and those without words all stay."""
+    """``docs`` with one row of each component: that of the smallest doc_id, or any one where no id is
+    known. Rows are told apart by doc_id and text; those without words all stay. Of rows that
+    repeat both, the one with the least hash of all columns stays."""
     found = materialize(near_duplicates(docs, threshold, size), "near")
-    doc_id = F.col("doc_id").cast("long")
-    gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.where(doc_id.isNotNull()).join(gone, doc_id == F.col("__gone"), "left_anti")
-    if found.where(F.col("kept") & ~F.col("first") & F.col("doc_id").isNotNull()).limit(1).count():
-        kept = kept.dropDuplicates(["doc_id"])
-    stay = (found.where(F.col("doc_id").isNull() & F.col("first")).groupBy(F.col("text_key").alias("__stays"))
-            .agg(F.max(F.col("n_shingles") > 0).alias("__once")))
-    if stay.limit(1).count():
-        nulls = docs.where(doc_id.isNull()).withColumn("__key", text_key(F.col("text"))).join(
-            stay, F.col("__key") == F.col("__stays"))
-        one = nulls.where("__once").dropDuplicates(["__key"]).unionByName(nulls.where("NOT __once"))
-        kept = kept.unionByName(one.select(*docs.columns))
-    return kept
+    rows = (found.where("n_shingles > 0").groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"))
+            .agg(F.max("first").alias("stays"), F.count("*").alias("n")))
+    rows = materialize(rows, "near-rows")
+    keyed = docs.withColumn("__key", text_key(F.col("text")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__text"))
+    kept = keyed.join(rows.where("NOT stays"), same, "left_anti")
+    repeated = rows.where("stays AND n > 1")
+    if repeated.limit(1).count():
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        one = (keyed.join(repeated, same, "left_semi").groupBy(F.col("doc_id"), F.col("__key"))
+               .agg(F.min_by(row, F.xxhash64(row)).alias("row")).select("row.*"))
+        kept = kept.join(repeated, same, "left_anti").select(*docs.columns).unionByName(one)
+    return kept.select(*docs.columns)

@@ -79,13 +79,15 @@ def test_near_duplicates(docs, none):
         if r.doc_id in want:
             assert (r.n_shingles, r.component_id) == want[r.doc_id]
             assert r.kept == (r.doc_id == r.component_id)
-    assert {r.component_id for r in got if r.doc_id == 13} == {13}  # a repeated id is one node
+    assert [r.component_id for r in got if r.doc_id == 13] == [13, 13] and sum(r.first for r in got if r.doc_id == 13) == 2
     assert sum(r.first for r in got if r.component_id == 4) == 1
     kept = near_dup.drop_near_duplicates(docs, 0.8)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted({r.doc_id for r in got if r.kept and r.doc_id is not None})
-    assert ids.count(None) == 2
+    assert sorted(map(str, ids)) == sorted(str(r.doc_id) for r in got if r.first or not r.n_shingles)
+    assert ids.count(13) == ids.count(None) == 2 and ids.count(12) == 0
+    texts = [r.text for r in kept.collect()]
+    assert {prose(50, 6), prose(50, 8)} <= set(texts)  # unlike texts of one doc_id both stay
     assert near_dup.near_duplicates(none).count() == 0 and near_dup.drop_near_duplicates(none).count() == 0
 
 
@@ -103,6 +105,25 @@ def test_near_duplicates_in_a_large_group(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
 
 
+def test_near_duplicates_that_share_an_id_or_are_whole_copies(spark):
+    rows = [(1, prose(60, 31), "x"), (1, prose(60, 32), "y"), (2, prose(60, 33), "z"), (3, prose(60, 34), "b"),
+            (3, prose(60, 34), "a"), (4, prose(60, 34) + " end", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_shingles string")
+    kept = near_dup.drop_near_duplicates(docs)
+    assert [r.doc_id for r in kept.orderBy("doc_id").collect()] == [1, 1, 2, 3]
+    again = near_dup.drop_near_duplicates(docs.repartition(5))
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_stars_meet_other_components(spark):
+    rows = [(k, u, c) for k in (1, 2) for u, c in ((10, 10), (11, 10), (12, 12), (13, 10), (14, 14))]
+    of = {u: c for _, u, c in rows}
+    for turn in range(3):
+        pairs = near_dup._next_stars(spark.createDataFrame(rows, "key long, uid long, component long"), turn).collect()
+        assert all(of[p.a] != of[p.b] for p in pairs) and len(pairs) <= len(rows)
+        assert {x for p in pairs for x in p} == set(of)
+
+
 def test_odd_sketch_estimates_high_similarity():
     hashes, sizes = near_dup.MinHash(1024, 2048), []
     for same in (0.95, 0.9, 0.85):
@@ -129,6 +150,19 @@ def test_leaks(spark, docs, none):
     assert decontamination.decontaminate(docs, table.limit(0)).count() == len(ROWS)
 
 
+def test_unlike_texts_of_one_item_and_size_partitions(spark):
+    items = [(7, prose(40, 51)), (7, prose(30, 52)), (7, "short words"), (8, prose(1500, 53)), (9, prose(300, 54))]
+    rows = [(1, prose(20, 61) + " " + items[0][1]), (2, items[1][1] + " " + prose(15, 62)), (3, "some short words here"),
+            (4, prose(200, 63) + " " + items[3][1] + " tail"), (5, items[3][1][:4000]), (6, items[4][1].replace("w1", "v")),
+            (7, " ".join(t for _, t in items)), (8, prose(2000, 64))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.leaks(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), table).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == brute.leaks(rows, items) and len(got) == len(brute.leaks(rows, items))
+    assert {(1, 7), (2, 7), (3, 7), (4, 8), (7, 7), (7, 8), (7, 9)} <= {(r.doc_id, r.item_id) for r in got}
+    plans = [decontamination.class_plan(c, 0.8) for c in range(12)]
+    assert plans == sorted(plans) and plans[4] == (16, 3) and plans[-1][0] > 2 * 16 and all(w < n for n, w in plans)
+
+
 def test_token_files(spark, docs, none):
     folder = tempfile.mkdtemp(prefix="run-") + "/ids"
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -244,7 +278,7 @@ def test_pii(spark):
 def test_fingerprints(spark, docs, none):
     got = fingerprints.compare_with_next(docs).collect()
     rows = list(dict.fromkeys(ROWS[:]))
-    assert len(got) == len({(d, t or "") for d, t in rows})
+    assert len(got) == len(ROWS) and len(rows) < len(ROWS)  # also rows that repeat
     unique = {d: t or "" for d, t in ROWS if d not in (None, 13)}
     of = {r.doc_id: r for r in got if r.doc_id in unique}
     order = sorted(unique, reverse=True)
@@ -253,8 +287,8 @@ def test_fingerprints(spark, docs, none):
             continue
         t, m = unique[d], len(unique[d]) // 3
         assert of[d].edited_text == t[:len(t) - m] + unique[after][:m] and of[d].n_chars == len(t)
-    assert of[5].sketch == of[6].sketch == of[7].sketch == [] and of[6].near_next == 1
-    assert of[1].sketch == of[2].sketch and of[2].near_next == 1
+    assert of[5].marks == of[6].marks == of[7].marks == [] and of[6].near_next == 1
+    assert of[1].marks == of[2].marks and of[2].near_next == 1
     assert len(fingerprints.compare_with_next(docs.where("doc_id = 1")).collect()) == 1
     assert fingerprints.compare_with_next(none).count() == 0
 
@@ -429,7 +463,7 @@ def test_short_texts_have_a_fingerprint(spark):
     rows += [(400 + i, " ".join(f"{w}{i}" for w in "abcdefg")) for i in range(100)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for k, s in ((3, 1), (5, 2)):
-        got = {r.doc_id: r.f for r in df.select("doc_id", fingerprints.as_text(fingerprints.sketch(F.col("text"), k, s)).alias("f")).collect()}
+        got = {r.doc_id: r.f for r in df.select("doc_id", fingerprints.as_text(fingerprints.marks(F.col("text"), k, s)).alias("f")).collect()}
         assert got.pop(301) == "" and all(got.values()) and len(set(got.values())) == len(got)
     near = fingerprints.compare_with_next(df.where("doc_id < 300")).collect()
     assert len(near) == 300 and {r.near_next for r in near} == {0.0}
@@ -442,11 +476,10 @@ def test_likeness_of_long_texts_is_exact(spark):
     other = words[:9_000] + ["other"] + words[9_001:]
     rows = [(3, " ".join(words)), (2, " ".join(other)), (1, " ".join(words[:5_000]))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    sets = {r.doc_id: {a.hash >> 32 for a in r.a} for r in df.select("doc_id", fingerprints.anchors(F.col("text")).alias("a")).collect()}
     got = {r.doc_id: r for r in fingerprints.compare_with_next(df).collect()}
+    assert got[3].marks != got[2].marks and len(got[3].marks) > 10_000
     for d, after in ((3, 2), (2, 1), (1, 3)):
-        assert got[d].near_next == len(sets[d] & sets[after]) / len(sets[d] | sets[after])
-        assert len(got[d].sketch) == fingerprints.SKETCH
+        assert got[d].near_next == len(set(got[d].marks) & set(got[after].marks)) / len(set(got[d].marks) | set(got[after].marks))
     assert 0.999 < got[3].near_next < 1 and got[2].near_next < 0.3 and 0.4 < got[2].near_edited < 1
 
 
