@@ -118,6 +118,11 @@ class IdEncoder:
             data = None if None in parts else self.newline.join(parts)
         return self._whole(lead + piece) if data is None else data
 
+    def forget(self) -> None:
+        """Empty the tables: a worker that goes on to other work need not hold them."""
+        for table in (self.starts, self.others, self.cores, self.tails):
+            table.clear()
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (little-endian unsigned 32-bit) of each text."""
         starts, others, out = self.starts, self.others, []

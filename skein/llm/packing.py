@@ -50,6 +50,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
                 yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
                     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                      ("length", pa.int64()), ("ids", pa.binary())]))
+        enc.forget()
         give_back()
 
     return id_and_text(docs).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids binary")
@@ -223,6 +224,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 [*[batch.column(c) for c in keep], pa.array(sequence), pa.array(offset)],
                 names=[*keep, "sequence_id", "offset"])
 
-    ranked = (stored.join(offsets, ["length", "__task"])
+    # the offsets (a row per task and length) are hashed; pieces, which may carry their ids, are not sorted
+    ranked = (stored.join(offsets.hint("shuffle_hash"), ["length", "__task"])
               .withColumn("__rank", F.col("__rank") + F.col("__first")).select(*keep, "__rank"))
     return ranked.mapInArrow(place, f"{types}, sequence_id long, offset long")
