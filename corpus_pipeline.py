@@ -38,7 +38,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")))
 
 
 STAGES = [("quality", keep_good), ("near_dedup", drop_near_duplicates), ("decontamination", drop_leaks),
