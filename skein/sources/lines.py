@@ -75,9 +75,9 @@ def parse_lines(lines: DataFrame, layout: str, value_col: str = "value", quoted:
         raw_of = {pos: F.try_element_at(F.col("__parts"), F.lit(pos)) for pos, *_ in fields}
         raw_of = {pos: (F.regexp_replace(raw_of[pos], '"', "") if strip else raw_of[pos])
                   for pos, _, _, _, strip in fields}
-    # one projection per stage: the record is parsed once and each field expression is
-    # not inlined into every later use (keeps the generated code small)
-    raws = base.select("line", *[raw_of[pos].alias(f"__raw{pos}") for pos, *_ in fields])
+    # A row generator of one row ends each stage: filters on a field are not pushed below it, where the
+    # optimizer would write out the whole splitting of the line again for every use of the field.
+    raws = base.select("line", F.inline(F.array(F.struct(*[raw_of[pos].alias(f"__raw{pos}") for pos, *_ in fields]))))
 
     # typed value: null when missing, the null token, empty optional text or unparsable
     vals = []
@@ -85,7 +85,7 @@ def parse_lines(lines: DataFrame, layout: str, value_col: str = "value", quoted:
         raw = F.col(f"__raw{pos}")
         blank = raw == F.lit(null_token) if kind == "req" else raw.isin(null_token, "")
         vals.append(F.when(~blank, _typed(raw, dtype)).cast(dtype).alias(f"__val{pos}"))
-    valued = raws.select("*", *vals)
+    valued = raws.select("line", *[f"__raw{pos}" for pos, *_ in fields], F.inline(F.array(F.struct(*vals))))
 
     # a field is bad when required and without value, when missing although optional, or
     # when text that is neither blank nor the null token does not parse

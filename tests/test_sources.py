@@ -94,3 +94,11 @@ def test_airport_layout_quoted_keeps_commas(spark):
     assert rejects.count() == 0
     _, unquoted_rejects = parse_lines(df, "airport", quoted=False)
     assert unquoted_rejects.count() == 1  # the quoted comma shifts every later field
+
+
+@pytest.mark.parametrize("quoted, parser", [(False, "split("), (True, "from_csv(")])
+def test_parse_lines_parses_a_line_once(spark, quoted, parser):
+    """Neither the good records nor the rejects write the parsing out again for each field that they test."""
+    df = spark.range(3).selectExpr("concat(id, ',a,b,c') AS value")
+    for part in parse_lines(df, "route", quoted=quoted):
+        assert part._jdf.queryExecution().optimizedPlan().toString().count(parser) == 1
