@@ -4,8 +4,9 @@
    class, of which one representative goes on), MinHash samples cut into bands, and an odd sketch:
    a parity bitmap of the samples, in which the samples two sets share cancel out.
 2. Documents that agree in a band share a bucket. In a bucket every member is paired with one
-   centre, picked per band by hash, so pairs grow with the members and not with their square, and
-   a document meets as many centres as it has shared bands.
+   centre, the least in one of ORDERS orders, so pairs grow with the members and not with their
+   square. Buckets of the same documents and order share a centre, so that a member of a large group
+   meets some ORDERS centres and not one a band.
 3. The XOR population count of two odd sketches estimates how many samples differ; at high
    similarity that is precise, so pairs clearly below the threshold go. The rest are confirmed on
    full shingle sets and linked; links make components.
@@ -45,6 +46,7 @@ BAND_ROWS, MISS = 5, 1e-6
 # judged exactly unless their sketches differ by DEVIATIONS more than those at the threshold do.
 COARSE, FINE = (None, 512), (1024, 2048)
 DEVIATIONS = 6
+ORDERS = 4  # of uids, from which buckets take their centres
 ROUNDS = 2  # of stars with new centres in buckets that hold several components
 BLOCK_MEMBERS = 512  # members of a bucket that one task compares with as many others
 
@@ -198,11 +200,24 @@ def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return materialize(linked, "links")
 
 
+def _order(turn: int) -> Column:
+    """A number to XOR uids with, which puts them into one of ORDERS orders of this turn; the bucket's key
+    picks which."""
+    return F.xxhash64(F.pmod("key", F.lit(ORDERS)), F.lit(turn))
+
+
+def _centres(keys: DataFrame) -> DataFrame:
+    """(key, centre, n) of the buckets of ``keys(uid, key)`` with several members."""
+    order = _order(0)  # a plain number, so that the least uid and the count need no sort
+    return (keys.groupBy("key").agg(F.min(F.col("uid").bitwiseXOR(order)).alias("least"), F.count("*").alias("n"))
+            .where("n > 1").select("key", F.col("least").bitwiseXOR(order).alias("centre"), "n"))
+
+
 def _next_stars(rows: DataFrame, turn: int) -> DataFrame:
     """Pairs (a, b) of each member of the open buckets ``rows(key, uid, component)`` with a centre of
-    another component: the least member of the bucket in an order of its own and this turn, or, for
+    another component: the least member of the bucket in its order of this turn, or, for
     members of that one's component, the least of all others."""
-    order = F.xxhash64("key", F.lit(turn + 1))
+    order = _order(turn + 1)
     heads = rows.groupBy("key", "component").agg(F.min(F.col("uid").bitwiseXOR(order)).alias("head"))
     least = heads.groupBy("key").agg(F.min("head").alias("one"))
     one = heads.join(least, "key").where("head = one").select("key", "one", F.col("component").alias("of_one"))
@@ -229,11 +244,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     known = reps.select("uid", "n_shingles", "sketch")
 
     keys = reps.select("uid", F.explode("bands").alias("key"))
-    # the least uid in an order of each bucket's own; a plain number, so that counting needs no sort
-    turn = F.xxhash64("key")
-    shared = (keys.groupBy("key").agg(F.min(F.col("uid").bitwiseXOR(turn)).alias("least"), F.count("*").alias("n"))
-              .where("n > 1").select("key", F.col("least").bitwiseXOR(turn).alias("centre"), "n"))
-    buckets = materialize(keys.join(shared, "key"), "buckets")
+    buckets = materialize(keys.join(_centres(keys), "key"), "buckets")
 
     def judged(pairs: DataFrame) -> DataFrame:
         a = known.select(F.col("uid").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))

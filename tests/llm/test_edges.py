@@ -115,6 +115,17 @@ def test_near_duplicates_that_share_an_id_or_are_whole_copies(spark):
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, again.collect()))
 
 
+def test_buckets_of_the_same_documents_share_centres(spark):
+    """A group that agrees in 35 bands meets as many centres as there are orders, not 35."""
+    keys = spark.createDataFrame([(u, k * 7919 - 100_000) for k in range(35) for u in range(60)], "uid long, key long")
+    centres = near_dup._centres(keys).collect()
+    assert len(centres) == 35 and all(c.n == 60 and 0 <= c.centre < 60 for c in centres)
+    assert len({c.centre for c in centres}) <= near_dup.ORDERS
+    rows = [(k, u, u) for k in range(35) for u in range(60)]
+    pairs = near_dup._next_stars(spark.createDataFrame(rows, "key long, uid long, component long"), 0).count()
+    assert pairs <= 60 * near_dup.ORDERS
+
+
 def test_stars_meet_other_components(spark):
     rows = [(k, u, c) for k in (1, 2) for u, c in ((10, 10), (11, 10), (12, 12), (13, 10), (14, 14))]
     of = {u: c for _, u, c in rows}
