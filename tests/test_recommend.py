@@ -1,7 +1,11 @@
+import dataclasses
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from skein.operators import recommend as R
+from skein.operators import topn
 from skein.operators.topn import top_items
 from skein.sources import testdata as td
 from tests.conftest import SF_SMALL
@@ -108,3 +112,38 @@ def test_cold_start_equals_pairwise_brute_force(spark):
     assert set(got) == set(want)
     for u in want:
         assert [v for _, v in got[u]] == pytest.approx([v for _, v in want[u]])
+
+
+def test_views_are_worked_out_once_and_lists_are_reused(spark, monkeypatch):
+    rows = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            rows.add(b.num_rows)
+            yield b
+
+    made = [(u, f"S{(u * 7 + k) % 23}", 1 + (u + k) % 9, k, u % 10) for u in range(40) for k in range(5)]
+    schema = "User_ID int, Stream_ID string, Duration int, Time_Start int, bucket int"
+    views = spark.createDataFrame(made, schema).mapInArrow(counted, schema)
+    search = {"n": 5, "ranks": (2,), "reg_params": (0.1,), "max_iters": (1,), "bucket": F.col("bucket")}
+    r = R.top_n(views, **search)
+    assert r.train.count() + r.test.count() == len(made) == rows.value
+    plain = spark.createDataFrame(made, schema)
+    fresh = sorted(map(str, R.cold_start(dataclasses.replace(r, lists=None), plain, 5).collect()))
+    monkeypatch.setattr(R, "top_items", None)  # users' lists of the same length are at hand
+    assert sorted(map(str, R.cold_start(r, plain, 5).collect())) == fresh != []
+
+
+def test_score_block_keeps_the_best_of_all_steps():
+    rng = np.random.default_rng(3)
+    factors = rng.integers(-3, 4, (3000, 3)).astype(np.float32)  # with many ties
+    norms = np.sqrt((factors.astype(float) ** 2).sum(axis=1))
+    by_length = np.argsort(-norms, kind="stable")
+    ids, factors, norms = rng.permutation(3000).astype(np.int32), factors[by_length], norms[by_length]
+    users = rng.integers(-3, 4, (50, 3)).astype(np.float32)
+    items, scores = np.full((50, 7), np.iinfo(np.int32).max, np.int32), np.full((50, 7), -np.inf, np.float32)
+    done = topn._score_block(users, items, scores, ids, factors, norms, 7, None)
+    assert done.all()
+    for u, got, values in zip(users, items, scores):
+        want = sorted(zip(-(factors @ u), ids))[:7]
+        assert [(-s, i) for s, i in want] == list(zip(values, got))
