@@ -1,21 +1,24 @@
 """Operator 7: near-duplicate documents by MinHash bands, odd sketches and exact confirmation.
 
 1. One pass makes each document's shingle set into its size, a 128-bit class (equal sets are one
-   class, of which one representative goes on), MinHash samples cut into bands, and an odd sketch:
-   a parity bitmap of the samples, in which the samples two sets share cancel out.
+   class, of which one representative goes on), MinHash samples cut into bands, an odd sketch: a
+   parity bitmap of the samples, in which the samples two sets share cancel out, and a parity
+   bitmap of the whole set.
 2. Documents that agree in a band share a bucket. In a bucket every member is paired with one
    centre, the least in one of ORDERS orders, so pairs grow with the members and not with their
    square. Buckets of the same documents and order share a centre, so that a member of a large group
    meets some ORDERS centres and not one a band.
-3. The XOR population count of two odd sketches estimates how many samples differ; at high
-   similarity that is precise, so pairs clearly below the threshold go. The rest are confirmed on
-   full shingle sets and linked; links make components.
+3. The XOR population count of two whole sets' bitmaps is never above the number of shingles in which
+   they differ, so a pair whose count is above what the threshold allows is no link, and no link goes.
+   That is sharp for sets of up to a few thousand shingles. The count of two odd sketches
+   estimates how many samples differ, at any size; pairs clearly below the threshold go. The rest
+   are confirmed on full shingle sets and linked; links make components.
 4. A bucket whose members are by now one component is done. In the others the star step is repeated
    with new centres: each member meets the centre of another component than its own, so the pairs
    of a round grow with the members, until a round links nothing new or ROUNDS are over.
 5. Members of buckets that are still open get an odd sketch of many more samples, and those of
-   different components are compared by it, in blocks; only pairs at the threshold or just below it
-   leave the comparison and are confirmed. After that no pair that shares a bucket is unjudged.
+   different components are compared by it and the bitmap, in blocks; only pairs at the threshold
+   or just below it leave the comparison and are confirmed. After that no pair that shares a bucket is unjudged.
 
 Two documents at the threshold miss each other in all bands with a probability of at most MISS.
 
@@ -46,6 +49,7 @@ BAND_ROWS, MISS = 5, 1e-6
 # judged exactly unless their sketches differ by DEVIATIONS more than those at the threshold do.
 COARSE, FINE = (None, 512), (1024, 2048)
 DEVIATIONS = 6
+WHOLE_BITS = 1024  # of the parity bitmap of a whole set
 ORDERS = 4  # of uids, from which buckets take their centres
 ROUNDS = 2  # of stars with new centres in buckets that hold several components
 BLOCK_MEMBERS = 512  # members of a bucket that one task compares with as many others
@@ -71,6 +75,18 @@ def sketch_cut(threshold: float, samples: int, bits: int) -> int:
     return math.ceil(mean + DEVIATIONS * deviation)
 
 
+def parity(bit: np.ndarray, bits: int) -> np.ndarray:
+    """Bitmap, as signed 64-bit numbers, of the bits that occur an odd number of times."""
+    odd = np.bincount(bit, minlength=bits).astype(np.uint8) & np.uint8(1)
+    return np.packbits(odd).view(np.int64)
+
+
+def whole_parity(shingles: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a whole set: the shingles two sets share cancel out in the XOR, so that its
+    population count is at most the size of their symmetric difference."""
+    return parity((shingles % np.uint64(WHOLE_BITS)).astype(np.int64), WHOLE_BITS)
+
+
 class MinHash:
     """Samples of a shingle set, and their fold into a parity bitmap."""
 
@@ -91,9 +107,7 @@ class MinHash:
         return low.astype(np.uint64)
 
     def odd(self, low: np.ndarray) -> np.ndarray:
-        bit = (mix64(low + self.place) % np.uint64(self.bits)).astype(np.int64)
-        parity = np.bincount(bit, minlength=self.bits).astype(np.uint8) & np.uint8(1)
-        return np.packbits(parity).view(np.int64)
+        return parity((mix64(low + self.place) % np.uint64(self.bits)).astype(np.int64), self.bits)
 
 
 def set_class(shingles: np.ndarray) -> list[int]:
@@ -103,7 +117,7 @@ def set_class(shingles: np.ndarray) -> list[int]:
 
 
 class Signer:
-    """Shingle set -> (128-bit class, band keys, coarse odd sketch)."""
+    """Shingle set -> (128-bit class, band keys, coarse odd sketch, parity bitmap of the whole set)."""
 
     def __init__(self, bands: int, rows: int = BAND_ROWS):
         draw = np.random.default_rng(bands)
@@ -114,7 +128,7 @@ class Signer:
     def sign(self, shingles: np.ndarray):
         low = self.hashes.samples(shingles)
         keys = mix64((low.reshape(self.bands, self.rows) * self.weights).sum(axis=1, dtype=np.uint64) ^ self.salt)
-        return (*set_class(shingles), keys.view(np.int64), self.hashes.odd(low))
+        return (*set_class(shingles), keys.view(np.int64), self.hashes.odd(low), whole_parity(shingles))
 
 
 def text_key(text: Column) -> Column:
@@ -123,28 +137,30 @@ def text_key(text: Column) -> Column:
 
 
 def signatures(docs: DataFrame, bands: int, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(uid, doc_id, text_key, n_shingles, c1, c2, bands, sketch) for every row; written once, so that
-    ``uid`` stays the same."""
+    """(uid, doc_id, text_key, n_shingles, c1, c2, bands, sketch, whole) for every row; written once, so
+    that ``uid`` stays the same."""
     def sign(batches):
         known, signer, uid = WordHashes(), Signer(bands), TaskContext.get().partitionId() << 40
         for batch in batches:
-            out = {k: [] for k in ("uid", "doc_id", "text_key", "n_shingles", "c1", "c2", "bands", "sketch")}
+            out = {k: [] for k in ("uid", "doc_id", "text_key", "n_shingles", "c1", "c2", "bands", "sketch", "whole")}
             for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(),
                                          batch.column("text").cast(pa.binary()).to_pylist()):
                 found = shingle_hashes(known.of(text.lower().split()), size)
-                signed = signer.sign(found) if len(found) else (None,) * 4
+                signed = signer.sign(found) if len(found) else (None,) * 5
                 for name, v in zip(out, (uid, doc_id, key, len(found), *signed)):
                     out[name].append(v)
                 uid += 1
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
                 ("uid", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.binary()), ("n_shingles", pa.int64()),
-                ("c1", pa.int64()), ("c2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]))
+                ("c1", pa.int64()), ("c2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())),
+                ("whole", pa.list_(pa.int64()))]))
         known.clear()
         give_back()
 
     rows = id_and_text(docs).withColumn("text_key", text_key(F.col("text")))
     return materialize(rows.mapInArrow(
-        sign, "uid long, doc_id long, text_key binary, n_shingles long, c1 long, c2 long, bands array<long>, sketch array<long>"), "sign")
+        sign, "uid long, doc_id long, text_key binary, n_shingles long, c1 long, c2 long, bands array<long>, sketch array<long>, "
+        "whole array<long>"), "sign")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS,
@@ -178,13 +194,18 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS,
                        "sets")
 
 
-def _may_link(n_a: Column, s_a: Column, n_b: Column, s_b: Column, threshold: float, samples: int,
-              bits: int) -> Column:
-    """Sizes within the threshold of each other, and the sketches' XOR within the cut."""
-    differ = sum((F.bit_count(F.get(s_a, F.lit(i)).bitwiseXOR(F.get(s_b, F.lit(i))))
-                  for i in range(bits // 64)), F.lit(0))
+def _differ(a: Column, b: Column, bits: int) -> Column:
+    """The XOR population count of two bitmaps."""
+    return sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(bits // 64)), F.lit(0))
+
+
+def _may_link(threshold: float, samples: int, bits: int) -> Column:
+    """Of rows with (n, s, w)_a and (n, s, w)_b: sizes within the threshold of each other, no more bits of
+    the whole sets' XOR than shingles in which linked sets may differ, and the sketches' XOR within the cut."""
+    n_a, n_b, per_cent = F.col("n_a"), F.col("n_b"), round(threshold * 100)
     return ((F.least(n_a, n_b) >= F.greatest(n_a, n_b) * threshold)
-            & (differ <= sketch_cut(threshold, samples, bits)))
+            & (_differ(F.col("w_a"), F.col("w_b"), WHOLE_BITS) * (100 + per_cent) <= (n_a + n_b) * (100 - per_cent))
+            & (_differ(F.col("s_a"), F.col("s_b"), bits) <= sketch_cut(threshold, samples, bits)))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -241,17 +262,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
                          .select("uid", "doc_id", "text_key", "n_shingles", F.coalesce("rep", "uid").alias("rep")), "member")
     reps = signed.join(classes.select(F.col("rep").alias("uid")), "uid", "left_semi")
     reps = materialize(reps, "reps")
-    known = reps.select("uid", "n_shingles", "sketch")
+    known = reps.select("uid", "n_shingles", "sketch", "whole")
 
     keys = reps.select("uid", F.explode("bands").alias("key"))
     buckets = materialize(keys.join(_centres(keys), "key"), "buckets")
 
     def judged(pairs: DataFrame) -> DataFrame:
-        a = known.select(F.col("uid").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
-        b = known.select(F.col("uid").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
-        return (pairs.join(a, "a").join(b, "b")
-                .where(_may_link(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"), threshold,
-                                 bands * BAND_ROWS, *COARSE[1:]))
+        a, b = (known.select(F.col("uid").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"),
+                             F.col("whole").alias(f"w_{x}")) for x in "ab")
+        return (pairs.join(a, "a").join(b, "b").where(_may_link(threshold, bands * BAND_ROWS, *COARSE[1:]))
                 .select("a", "b"))
 
     def sets_of(uids: DataFrame, with_fine: bool) -> DataFrame:
@@ -289,20 +308,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
 
     # members are dealt over blocks; every two blocks of a bucket meet in a task of their own
     blocks = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
-    finer = open_sets.select("uid", "n_shingles", F.col("fine").alias("sketch")).join(reps.select("uid", "bands"), "uid")
+    finer = open_sets.select("uid", "n_shingles", F.col("fine").alias("sketch")).join(reps.select("uid", "bands", "whole"), "uid")
     dealt = open_rows.join(finer, "uid").withColumn("blocks", blocks).withColumn(
         "block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
     def side(name: str, x: Column, y: Column) -> DataFrame:  # noqa: E306
         meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-        rows = dealt.select("key", "uid", "component", "n_shingles", "sketch", "bands", "block", meets)
+        rows = dealt.select("key", "uid", "component", "n_shingles", "sketch", "whole", "bands", "block", meets)
         return rows.select("key", x.alias("x"), y.alias("y"), F.col("uid").alias(name),
                            F.col("component").alias(f"c_{name}"), F.col("n_shingles").alias(f"n_{name}"),
-                           F.col("sketch").alias(f"s_{name}"), F.col("bands").alias(f"k_{name}"))
+                           F.col("sketch").alias(f"s_{name}"), F.col("whole").alias(f"w_{name}"),
+                           F.col("bands").alias(f"k_{name}"))
 
     left, right = side("a", F.col("block"), F.col("other")), side("b", F.col("other"), F.col("block"))
     rest = (left.join(right, ["key", "x", "y"])
-            .where((F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & _may_link(
-                F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"), threshold, *FINE)
+            .where((F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & _may_link(threshold, *FINE)
                 # of the buckets that two documents share, one reports them
                 & (F.col("key") == F.array_min(F.array_intersect("k_a", "k_b"))))
             .select("a", "b"))

@@ -135,6 +135,36 @@ def test_stars_meet_other_components(spark):
         assert {x for p in pairs for x in p} == set(of)
 
 
+def test_pairs_below_the_threshold_are_not_confirmed(spark, monkeypatch):
+    """Edits of one text that share buckets and are just too unlike: few of all 1,770 pairs are confirmed,
+    where the odd sketches alone let most through."""
+    base, rows, met, confirm = prose(600, 21).split(), [], [], near_dup._confirm
+    for i in range(60):
+        words = list(base)
+        for at in RNG.choice(119, 9, replace=False):
+            words[5 * at + 4] = f"e{i}x{at}"
+        rows.append((i + 1, " ".join(words)))
+
+    def counted(pairs, sets, threshold):
+        met.append(pairs.count())
+        return confirm(pairs, sets, threshold)
+
+    monkeypatch.setattr(near_dup, "_confirm", counted)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 0.8)
+    want = brute.near_dup(rows, 80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
+    assert len({c for _, c in want.values()}) > 50 and sum(met) < 350
+
+
+@pytest.mark.parametrize("n", [1, 30, 500, 20_000])
+def test_whole_parity_never_counts_more_than_differs(n):
+    for differ in (0, 1, n // 9, n):
+        shared, own = (np.unique(RNG.integers(0, 1 << 63, k, dtype=np.uint64)) for k in (n, differ))
+        xor = near_dup.whole_parity(shared) ^ near_dup.whole_parity(np.union1d(shared, own))
+        count = sum(int(x).bit_count() for x in xor.view(np.uint64))
+        assert count <= len(np.setdiff1d(own, shared)) and count >= (differ > 0) * min(1, differ % 2)
+
+
 def test_odd_sketch_estimates_high_similarity():
     hashes, sizes = near_dup.MinHash(1024, 2048), []
     for same in (0.95, 0.9, 0.85):
