@@ -68,8 +68,9 @@ def range_offsets(df: DataFrame, part: str, total: Column) -> DataFrame:
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that are no longer referenced: its cleaner acts
-    when the driver collects garbage, which otherwise may be long after a step has been written."""
+    """Let Spark delete the shuffle files and broadcasts of plans that are no longer referenced: its cleaner
+    acts when the driver collects garbage, which otherwise may be long after a step has been written. The
+    driver's heap shrinks with it, where many small steps would let it grow to its limit."""
     import gc
     gc.collect()
     spark.sparkContext._jvm.System.gc()

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import WordHashes, give_back, id_and_text, mix64, shingle_hashes
+from skein.llm.common import WordHashes, free_shuffles, give_back, id_and_text, mix64, shingle_hashes
 from skein.operators.graph import Graph, components
 from skein.session import materialize
 
@@ -218,7 +218,9 @@ def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
               .select("a", "b", shared.alias("n"), (F.size("in_a") + F.size("in_b")).cast("long").alias("both"))
               .where(100 * F.col("n") >= per_cent * (F.col("both") - F.col("n")))
               .select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    return materialize(linked, "links")
+    found = materialize(linked, "links")
+    free_shuffles(pairs.sparkSession)
+    return found
 
 
 def _order(turn: int) -> Column:
@@ -240,8 +242,7 @@ def _next_stars(rows: DataFrame, turn: int) -> DataFrame:
     members of that one's component, the least of all others."""
     order = _order(turn + 1)
     heads = rows.groupBy("key", "component").agg(F.min(F.col("uid").bitwiseXOR(order)).alias("head"))
-    least = heads.groupBy("key").agg(F.min("head").alias("one"))
-    one = heads.join(least, "key").where("head = one").select("key", "one", F.col("component").alias("of_one"))
+    one = heads.groupBy("key").agg(F.min("head").alias("one"), F.min_by("component", "head").alias("of_one"))
     two = (heads.join(one, "key").where("component <> of_one").groupBy("key").agg(F.min("head").alias("two")))
     centre = F.when(F.col("component") == F.col("of_one"), F.col("two")).otherwise(F.col("one")).bitwiseXOR(order)
     met = rows.join(one.join(two, "key"), "key").select("uid", centre.alias("centre"))
@@ -266,6 +267,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
 
     keys = reps.select("uid", F.explode("bands").alias("key"))
     buckets = materialize(keys.join(_centres(keys), "key"), "buckets")
+    free_shuffles(docs.sparkSession)
 
     def judged(pairs: DataFrame) -> DataFrame:
         a, b = (known.select(F.col("uid").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"),
@@ -283,7 +285,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
 
     def labels(edges: DataFrame) -> DataFrame:
         ends = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-        return materialize(components(Graph(ends, edges)), "labels")
+        found = materialize(components(Graph(ends, edges)), "labels")
+        free_shuffles(docs.sparkSession)
+        return found
 
     label = labels(links)
 

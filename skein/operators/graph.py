@@ -262,11 +262,19 @@ def _hubs(ends: DataFrame, count: str, total: int) -> DataFrame:
 
 def _follow(rows: DataFrame, pointers: DataFrame, col: str, hubs: DataFrame | None) -> DataFrame:
     """``rows`` with ``col`` replaced by where ``pointers(u, to)`` leads. A hub's rows meet its pointer in
-    the map tasks and are never shuffled."""
+    the map tasks. They pass the join with all other pointers dealt by their own hash, so that ``rows`` are
+    planned once, not once for hubs and once for the rest."""
     to = pointers.select(F.col("u").alias(col), F.col("to").alias("__to"))
-    joined = (rows.join(to, col) if hubs is None
-              else skew_join(rows, to, col, hot=hubs.select(F.col("u").alias(col))))
-    return joined.withColumn(col, F.col("__to")).drop("__to")
+    if hubs is None:
+        return rows.join(to, col).withColumn(col, F.col("__to")).drop("__to")
+    hub = to.join(F.broadcast(hubs.select(F.col("u").alias(col))), col, "left_semi").withColumnRenamed("__to", "__hub")
+    kind = "long" if dict(rows.dtypes)[col] == "bigint" else "string"  # of a key that holds ids or hashes
+    met = rows.join(F.broadcast(hub), col, "left").withColumn(
+        "__key", F.when(F.col("__hub").isNull(), F.col(col).cast(kind)).otherwise(F.xxhash64(*rows.columns).cast(kind)))
+    others = to.select(F.col(col).cast(kind).alias("__u"), "__to")
+    joined = met.join(others, (F.col("__key") == F.col("__u")) & F.col("__hub").isNull(), "left")
+    return joined.where("__hub IS NOT NULL OR __to IS NOT NULL").withColumn(
+        col, F.coalesce("__hub", "__to")).select(*rows.columns)
 
 
 def components(g: Graph, max_rounds: int = 200) -> DataFrame:

@@ -105,6 +105,14 @@ def test_near_duplicates_in_a_large_group(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
 
 
+def test_near_duplicates_frees_what_its_steps_leave_on_the_driver(spark, monkeypatch):
+    freed = []
+    monkeypatch.setattr(near_dup, "free_shuffles", lambda session: freed.append(session), raising=False)
+    docs = spark.createDataFrame([(1, A), (2, A + " one more"), (3, B)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 3}
+    assert len(freed) >= 3  # after the buckets, the links of the first stars and their components
+
+
 def test_near_duplicates_that_share_an_id_or_are_whole_copies(spark):
     rows = [(1, prose(60, 31), "x"), (1, prose(60, 32), "y"), (2, prose(60, 33), "z"), (3, prose(60, 34), "b"),
             (3, prose(60, 34), "a"), (4, prose(60, 34) + " end", "c")]

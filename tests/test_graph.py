@@ -138,6 +138,18 @@ def test_components_of_a_power_law_graph_with_a_hub(spark):
     assert G.components(G.Graph(spark.range(3), gr.edges.limit(0))).where("id <> component").count() == 0
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_rows_of_hubs_are_followed_in_the_same_pass_as_all_others(spark, kind):
+    rows = [(1, x) for x in range(50)] + [(2, 1), (3, 2), (3, 2)]
+    to = {1: 0, 2: 7, 3: 2}
+    edges = spark.createDataFrame(rows, "a long, b long").select(F.col("a").cast(kind), F.col("b").cast(kind))
+    pointers = spark.createDataFrame(list(to.items()), "u long, to long").select(F.col("u").cast(kind), F.col("to").cast(kind))
+    got = G._follow(edges, pointers, "a", spark.createDataFrame([(1,)], "u long").select(F.col("u").cast(kind)))
+    assert got.columns == ["a", "b"] and got.dtypes == edges.dtypes
+    assert sorted((int(r.a), int(r.b)) for r in got.collect()) == sorted((to[a], b) for a, b in rows)
+    assert "Union" not in got._jdf.queryExecution().optimizedPlan().toString()  # which would plan the rows twice
+
+
 @pytest.mark.parametrize("rounds", [1, 2, 3, 7])
 def test_label_propagation_by_changes_equals_plain_rounds(spark, rounds):
     import random
