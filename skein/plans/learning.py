@@ -1,6 +1,6 @@
 """Model queries: k-fold classification, k-means and Gaussian-mixture searches.
 
-Fits depend on partitioning, so these have no SQL oracle (the driver checks row counts);
+Fits draw by seed or depend on partitioning, so these have no SQL oracle (the driver checks row counts);
 their invariants are in tests/test_models.py. Grids here are small; the library defaults
 are the reference's full grids.
 """
