@@ -147,3 +147,48 @@ def test_score_block_keeps_the_best_of_all_steps():
     for u, got, values in zip(users, items, scores):
         want = sorted(zip(-(factors @ u), ids))[:7]
         assert [(-s, i) for s, i in want] == list(zip(values, got))
+
+
+@pytest.mark.parametrize("whole", [True, False])
+@pytest.mark.parametrize("share", [1.0, 0.4])
+def test_cones_leave_out_no_item_of_a_list(whole, share):
+    rng = np.random.default_rng(11)
+    factors = (rng.integers(-4, 5, (6000, 4)) if whole else rng.normal(size=(6000, 4))).astype(np.float32)  # whole ones: with many ties
+    factors[:50] = 0
+    norms = np.sqrt((factors.astype(float) ** 2).sum(axis=1))
+    by_length = np.argsort(-norms, kind="stable")
+    ids, factors, norms = rng.permutation(6000).astype(np.int32), factors[by_length], norms[by_length]
+    users = (rng.integers(-3, 4, (300, 4)) if whole else rng.normal(size=(300, 4))).astype(np.float32)
+    users[:3], users[3:5] = 0, 1e-20
+    cones = topn.Cones.of(ids, factors, norms)
+    assert sorted(cones.ids) == sorted(ids[topn.FIRST_ITEMS:]) and len(cones.starts) > 100
+    at = int(share * 6000)  # the block's end: the rest comes in a second one
+    items, scores = np.full((300, 7), np.iinfo(np.int32).max, np.int32), np.full((300, 7), -np.inf, np.float32)
+    products = np.zeros(300, dtype=np.int64)
+    for part in (slice(0, at), slice(at, 6000)):
+        if part.start < part.stop:
+            block = ids[part], factors[part], norms[part]
+            topn._score_block(users, items, scores, *block, 7, None, topn.Cones.of(*block), products)
+    assert products[:3].min() == 6000 == products.max()  # all scores of a user of length 0 are ties
+    assert np.median(products) < 3000
+    for u, got, values in zip(users, items, scores):
+        all_scores = factors @ u
+        if whole:
+            want = sorted(zip(-all_scores, ids))[:7]
+            assert [(-s, i) for s, i in want] == list(zip(values, got))
+        else:
+            assert np.allclose(values, np.sort(all_scores)[::-1][:7], rtol=1e-5, atol=1e-25) and len(set(got)) == 7
+
+
+def test_rounds_of_blocks_with_cones_equal_all_products(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    items, users = rng.normal(size=(9000, 5)) * rng.exponential(size=(9000, 1)), rng.normal(size=(200, 5))
+    made = [spark.createDataFrame([(i, [float(v) for v in f]) for i, f in enumerate(m)], "id int, features array<float>") for m in (users, items)]
+    monkeypatch.setattr(topn, "ROUND_FLOATS", 3 * 2000 * 5)  # three blocks in a round
+    found = top_items(*made, 6, 2000)
+    got = {}
+    for r in found.lists.collect():
+        got.setdefault(r.user, []).append(r.rating)
+    want = np.sort(users @ items.T, axis=1)[:, ::-1][:, :6]
+    assert len(got) == 200 and all(np.allclose(sorted(v, reverse=True), want[u], rtol=1e-4) for u, v in got.items())
+    assert found.products < 0.5 * found.all_products == 0.5 * 200 * 9000
